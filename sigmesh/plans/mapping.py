@@ -64,7 +64,7 @@ def hosting_records(t: Tables) -> DataFrame:
     band = (F.floor(F.col("c_acctbal") / 1000) + 2).cast("int")
     nk = F.col("c_nationkey")
     asn = F.concat(F.lit("AS"), (F.lit(64512) + nk).cast("string"))
-    org = F.concat(F.initcap(F.col("n_name")), F.lit(" Telecom"))
+    org = F.concat(F.col("n_name"), F.lit(" TELECOM"))
     ip = F.format_string("10.%d.%d.1", nk, band)
     for key, (c_asn, c_org, c_pref) in CDN_NATIONS.items():
         asn = F.when(nk == key, F.lit(c_asn)).otherwise(asn)
