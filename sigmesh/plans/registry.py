@@ -29,7 +29,7 @@ def register(name: str, sql: Optional[str] = None, ops: tuple = ()):
     return deco
 
 
-MODULES = ("q_cadence", "q_signals", "q_similarity")
+MODULES = ("q_cadence", "q_signals", "q_similarity", "q_verdict")
 
 
 def load_all() -> dict[str, QuerySpec]:
