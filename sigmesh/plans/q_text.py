@@ -9,6 +9,7 @@ from ..functions.domains import (is_authority, normalize_domain, normalize_seed,
                                  suspicious_name, suspicious_name_retrain, url_domain, url_domain_any)
 from ..functions.text import clean_text, english_hits, is_english, is_syndicated
 from ..operators.pages import clean_pages, html_text
+from ..operators.skew import one_row_join
 from ..sources.tables import Tables
 from . import sql_mapping as S
 from .q_signals import CFG
@@ -140,7 +141,7 @@ def q_document_profile(spark, sf_dir):
                         F.count_distinct("source").alias("sources"), F.count_distinct("lang").alias("langs"),
                         F.sum((F.length("text") > CFG.min_embed_text).cast("long")).alias("embeddable"))
     lab = t.labels.filter(F.col("quality").isin(0, 1)).agg(F.count(F.lit(1)).alias("labelled"))
-    return d.join(F.broadcast(lab)).select("min_len", "max_len", "avg_len", "sources", "langs", "labelled",
+    return one_row_join(d, lab).select("min_len", "max_len", "avg_len", "sources", "langs", "labelled",
                                            "embeddable")
 
 
