@@ -162,6 +162,16 @@ PRELIMINARY_REASONS = (
     "Domain name pattern looks promotional or synthetic",
     "WHOIS pattern triggered the registration-risk heuristic",
 )
+# Stored-node reasons (the last takes the related count) and recent-feed reasons.
+STORED_REASONS = (
+    "High content similarity was observed with related domains",
+    "Domain registration is recent",
+    "Publishing cadence appears coordinated",
+    "Connected to %d related domain(s) in the network graph",
+)
+STORED_NONE = "No strong warning signals were found in stored graph features"
+RECENT_REASONS = ("high content similarity", "multiple detection signals", "very recent domain registration")
+RECENT_NONE = "suspicious network indicators"
 PRELIMINARY_NONE = "No strong warning signs were found in quick domain-registration heuristics"
 
 
