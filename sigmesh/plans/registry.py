@@ -29,7 +29,7 @@ def register(name: str, sql: Optional[str] = None, ops: tuple = ()):
     return deco
 
 
-MODULES = ("q_cadence", "q_signals", "q_similarity", "q_verdict", "q_text", "q_evaluate", "q_graph")
+MODULES = ("q_cadence", "q_signals", "q_similarity", "q_verdict", "q_text", "q_evaluate", "q_graph", "q_feeds")
 
 
 def load_all() -> dict[str, QuerySpec]:
