@@ -238,24 +238,18 @@ def lsh_pairs(prep: DataFrame, threshold: float, bucket_length: float = 1.0, tab
     return pairs.filter(F.col("raw") >= threshold).distinct()
 
 
-def seed_vs_corpus(seeds: DataFrame, corpus: DataFrame, cfg: Settings, max_broadcast: int = 10_000,
-                   buckets: int = 64) -> DataFrame:
+def seed_vs_corpus(seeds: DataFrame, corpus: DataFrame, cfg: Settings, buckets: int = 16) -> DataFrame:
     """One-to-many comparison (C5): each seed against every other corpus
     domain except noise sites; raw-score flag (K4).
 
-    Seeds are a request.  Their count is checked (``limit(max+1).count()``,
-    which stops early): up to ``max_broadcast`` they are broadcast; beyond it
-    the corpus is split into ``buckets`` hash blocks and the seeds are
-    replicated to each block, so no task holds the whole corpus."""
+    The product is formed as an equi-join on a hash bucket: corpus rows get
+    one of ``buckets`` ids, seed rows are replicated to every id, so the plan
+    is a hash join (never a cartesian one) and no task holds the corpus."""
     s = seeds.select(F.col("domain").alias("seed"), F.col("u").alias("su"),
                      is_authority("domain").alias("s_auth"))
     c = corpus.filter(not_noise("domain")).select("domain", "u", is_authority("domain").alias("c_auth"))
-    small = seeds.limit(max_broadcast + 1).count() <= max_broadcast
-    if small:
-        j = c.withColumn("__k", F.lit(1)).join(F.broadcast(s.withColumn("__k", F.lit(1))), "__k")
-    else:
-        j = (c.withColumn("__k", F.pmod(F.xxhash64("domain"), F.lit(buckets)))
-             .join(s.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))), "__k"))
+    j = (c.withColumn("__k", F.pmod(F.xxhash64("domain"), F.lit(buckets)))
+         .join(s.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))), "__k"))
     j = j.drop("__k").filter(F.col("domain") != F.col("seed"))
     raw = F.aggregate(F.zip_with("u", "su", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     both = F.col("s_auth") & F.col("c_auth")

@@ -53,14 +53,10 @@ def with_group_size(rows: DataFrame, keys: list[str], name: str, salt_by: list[s
 
 
 def one_row_join(rows: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a single-row aggregate (a global count) to every row.
-
-    The right side has exactly one row by construction (a global ``agg``), so
-    broadcasting it is size-bounded; the join is an equi-join on a constant.
-    """
-    return (rows.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one", "left")
-            .drop("__one"))
+    """Attach the columns of a single-row aggregate (a global count) to every
+    row as scalar subqueries: each value is computed once and inlined, so
+    the plan has no join — in particular no nested-loop or cartesian join."""
+    return rows.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 def top_k_per_key(df: DataFrame, key: str, order_cols: list, k: int, salt_by: list[str],
