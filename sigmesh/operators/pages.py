@@ -79,7 +79,7 @@ def article_urls(links_col, base_url_col, k: int = 3) -> F.Column:
                            lambda h: F.when(F.startswith(h, F.lit("/")), F.concat(origin, h)).otherwise(h))
     pats = F.array(*[F.lit(p) for p in ARTICLE_URL_PATTERNS])
     keep = F.filter(absolute, lambda h: F.startswith(h, F.lit("http")) &
-                    F.exists(pats, lambda p: F.locate(p, h) > 0))
+                    F.exists(pats, lambda p: F.contains(h, p)))
     return F.slice(keep, 1, k)
 
 
