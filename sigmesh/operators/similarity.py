@@ -51,7 +51,7 @@ def prepare_vectors(vecs: DataFrame, cfg: Settings, text_col: str = "text") -> D
 
 
 def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixed_m: float,
-                edge_floor: float):
+                edge_floor: float, plain: bool = False):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         left = pdf[pdf["blk"] == lo].reset_index(drop=True)
@@ -70,6 +70,9 @@ def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixe
         eff = raw * w
         eff = np.where(sL[:, None] | sR[None, :], 0.0, eff)
         valid = left["parent"].to_numpy()[:, None] != right["parent"].to_numpy()[None, :]
+        if plain:  # legacy / retrain form: raw cosine, every other domain counts
+            eff, thr = raw, np.full_like(raw, sim_t)
+            valid = np.ones_like(raw, dtype=bool)
         if lo == hi:
             np.fill_diagonal(valid, False)
         over = valid & (eff >= thr)
@@ -105,7 +108,8 @@ def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixe
     return run
 
 
-def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor: float | None = None) -> DataFrame:
+def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor: float | None = None,
+                   plain: bool = False) -> DataFrame:
     """Blocked exact all-pairs pass; returns the mixed 'pair'/'part' rows (persisted,
     both consumers read it)."""
     B = max(int(num_blocks), 1)
@@ -116,7 +120,7 @@ def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor:
             .drop("other"))
     fn = _block_task(cfg.sim_threshold, cfg.authority_pair_weight, cfg.authority_mixed_weight,
                      cfg.authority_pair_mult, cfg.authority_mixed_mult,
-                     cfg.sim_edge_threshold if edge_floor is None else edge_floor)
+                     cfg.sim_edge_threshold if edge_floor is None else edge_floor, plain)
     out = (rows.select("lo", "hi", "blk", "domain", "parent", "u", "auth", "synd")
            .groupBy("lo", "hi").applyInPandas(fn, BLOCK_OUT))
     return out.persist(StorageLevel.MEMORY_AND_DISK)
@@ -145,6 +149,20 @@ def similarity_scores(domains: DataFrame, blocks: DataFrame, cfg: Settings) -> D
     )
 
 
+def edge_features(domains: DataFrame, edges: DataFrame, flag_at: float) -> DataFrame:
+    """Legacy similarity features from edges (D2): avg, max, count over the
+    edges touching a domain (both directions), flag = max >= ``flag_at``;
+    0 when the domain has no edge."""
+    u = edges.select(F.col("domain_a").alias("domain"), "raw").unionByName(
+        edges.select(F.col("domain_b").alias("domain"), "raw"))
+    g = u.groupBy("domain").agg(F.avg("raw").alias("a"), F.max("raw").alias("m"), F.count(F.lit(1)).alias("c"))
+    j = domains.select("domain").join(g, "domain", "left")
+    return j.select("domain", F.round(F.coalesce("a", F.lit(0.0)), 4).alias("avg_similarity"),
+                    F.round(F.coalesce("m", F.lit(0.0)), 4).alias("max_similarity"),
+                    F.coalesce("c", F.lit(0)).cast("int").alias("similar_count"),
+                    (F.coalesce("m", F.lit(0.0)) >= flag_at).cast("int").alias("similarity_flag"))
+
+
 def similarity_pairs(blocks: DataFrame, min_effective_over: bool = True) -> DataFrame:
     """Pairs (domain_a < domain_b) whose effective similarity reaches the pair
     threshold (C3/C4)."""
