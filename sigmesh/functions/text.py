@@ -30,16 +30,23 @@ def clean_text(col) -> Column:
     t = F.regexp_replace(t, r"&[a-zA-Z]+;", " ")
     t = F.regexp_replace(t, r"[^\x00-\x7F]", "")
     t = F.regexp_replace(t, r"http\S+", "")
-    t = F.regexp_replace(t, r"[^\w\s.,!?\-]", " ")
-    t = F.regexp_replace(t, r"\s+", " ")
+    # "special char -> space" then "whitespace run -> one space" in one pass:
+    # a maximal run of chars that are neither word chars nor kept punctuation
+    # (specials and whitespace alike) becomes exactly one space.
+    t = F.regexp_replace(t, r"[^\w.,!?\-]+", " ")
     return F.trim(t)
 
 
 def english_hits(col) -> Column:
-    """Number of stop words present as `` w `` in the lower-cased text."""
-    low = F.lower(_c(col))
-    return reduce(lambda a, b: a + b,
-                  [F.locate(f" {w} ", low).cast("boolean").cast("int") for w in ENGLISH_WORDS])
+    """Number of stop words present as `` w `` in the lower-cased text.
+
+    One split on single spaces: a word occurs as `` w `` exactly when it is a
+    token with a space on both sides, i.e. any token but the first and last.
+    The distinct intersection with the word list counts each word once."""
+    toks = F.split(F.lower(F.coalesce(_c(col), F.lit(""))), " ")
+    n = F.size(toks)
+    inner = F.when(n >= 3, F.slice(toks, 2, n - 2)).otherwise(F.array().cast("array<string>"))
+    return F.size(F.array_intersect(inner, F.array(*[F.lit(w) for w in ENGLISH_WORDS])))
 
 
 def is_english(col) -> Column:

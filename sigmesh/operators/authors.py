@@ -23,7 +23,7 @@ def author_memberships(bylines: DataFrame) -> DataFrame:
          .select("domain", author_norm("author").alias("author_norm"), F.col("author"))
          .groupBy("domain", "author_norm").agg(F.min("author").alias("author")))
     sizes = group_sizes(b.select("author_norm"), ["author_norm"], "author_domains")
-    return salted_join(b, sizes, ["author_norm"], "inner", ["domain"]) \
+    return salted_join(b, sizes, ["author_norm"], "inner", ["domain"], size_col="author_domains") \
         .filter(F.col("author_domains") > 1)
 
 

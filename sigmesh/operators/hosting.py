@@ -61,11 +61,17 @@ def hosting_signal(domains: DataFrame, hosting: DataFrame,
     rows means no group can have two members, so all flags are 0 (B35).
     """
     live = _live_with_keys(hosting, registration)
-    out = live
-    for key, name in (("k_ip", "n_ip"), ("k_asn", "n_asn"),
-                      ("k_ip_gate", "n_ip_gate"), ("k_asn_gate", "n_asn_gate")):
-        sizes = group_sizes(live.filter(F.col(key).isNotNull()).select(key), [key], name)
-        out = salted_join(out, sizes, [key], "left", ["domain"])
+    # one stacked pass for the four group kinds: (kind, key) memberships ->
+    # one partial aggregation -> one skew-safe join back -> pivot per domain
+    kinds = (("ip", "k_ip"), ("asn", "k_asn"), ("ip_gate", "k_ip_gate"), ("asn_gate", "k_asn_gate"))
+    memb = live.select("domain", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(c).alias("key")) for k, c in kinds])).alias("m")) \
+        .select("domain", "m.kind", "m.key").filter(F.col("key").isNotNull())
+    sizes = group_sizes(memb.select("kind", "key"), ["kind", "key"], "n")
+    sized = salted_join(memb, sizes, ["kind", "key"], "inner", ["domain"], size_col="n")
+    per_dom = sized.groupBy("domain").agg(*[F.max(F.when(F.col("kind") == k, F.col("n"))).alias(f"n_{k}")
+                                            for k, _ in kinds])
+    out = live.join(per_dom, "domain", "left")
     others = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(1)) - 1, F.lit(0))
     cdn = F.coalesce(F.col("is_cdn"), F.lit(False))
     flagged = F.when(cdn, (others("n_ip_gate") + others("n_asn_gate")) > 0) \
@@ -92,7 +98,7 @@ def host_memberships(scored: DataFrame) -> DataFrame:
     asn_m = flagged.select("domain", F.lit("SAME_ASN").alias("edge_type"), asn_key.alias("group_key"))
     m = ip_m.unionByName(asn_m).filter(F.col("group_key").isNotNull())
     sizes = group_sizes(m, ["edge_type", "group_key"], "members")
-    return salted_join(m, sizes, ["edge_type", "group_key"], "inner", ["domain"]) \
+    return salted_join(m, sizes, ["edge_type", "group_key"], "inner", ["domain"], size_col="members") \
         .filter(F.col("members") > 1)
 
 

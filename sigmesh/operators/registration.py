@@ -45,7 +45,7 @@ def registrar_clusters(reg: DataFrame, cfg: Settings, min_domains: int = 3) -> D
     age in [0, 365).  The per-registrar count is a partial aggregation joined
     back with a salted join (a registrar can hold a third of all domains)."""
     counts = (reg.groupBy("registrar").agg(F.count(F.lit(1)).alias("registrar_domains")))
-    j = salted_join(reg, counts, ["registrar"], "left", ["domain"])
+    j = salted_join(reg, counts, ["registrar"], "left", ["domain"], size_col="registrar_domains")
     clustered = (F.col("registrar_domains") >= min_domains) & \
         ~F.coalesce(F.col("registrar"), F.lit("")).isin(*CLUSTER_EXEMPT_REGISTRARS)
     young = F.coalesce(F.col("domain_age_days").between(0, cfg.legacy_young_days - 1), F.lit(False))

@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 32
+# A key with at least this many rows is "hot" and is spread over ``buckets``
+# tasks; the hot-key list is capped, so broadcasting it is size-bounded.
+HOT_MIN_ROWS = 200_000
+MAX_HOT_KEYS = 1_000
 
 
 def salt_of(cols, buckets: int) -> Column:
@@ -24,16 +28,36 @@ def salt_of(cols, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
 
 
-def salted_join(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
-                salt_by: list[str] | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Join ``per_key`` (one row per key) onto ``rows`` with a salted key.
+def hot_keys(per_key: DataFrame, keys: list[str], size_col: str, hot_min: int = HOT_MIN_ROWS,
+             max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """The largest keys with at least ``hot_min`` rows, at most ``max_hot`` of them."""
+    return (per_key.filter(F.col(size_col) >= hot_min).orderBy(F.desc(size_col)).limit(max_hot)
+            .select(*keys, F.lit(True).alias("__hot")))
+
 
-    ``salt_by`` are row columns that spread a hot key (defaults to all row
-    columns).  ``how`` is ``left`` or ``inner``.
-    """
+def salted_join(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left",
+                salt_by: list[str] | None = None, buckets: int = DEFAULT_BUCKETS,
+                size_col: str | None = None, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
+    """Join ``per_key`` (one row per key, with its row count ``size_col``)
+    onto ``rows``, splitting hot keys.
+
+    Rows of a hot key get a salt ``hash(salt_by) mod buckets`` and the hot
+    key's per-key row is replicated once per salt, so its rows are spread
+    over ``buckets`` tasks; every other key keeps salt 0 and is joined once.
+    Without ``size_col`` every key is treated as hot (full salting)."""
     salt_by = salt_by or rows.columns
-    r = rows.withColumn("__salt", salt_of(salt_by, buckets))
-    k = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    if size_col is None:
+        r = rows.withColumn("__salt", salt_of(salt_by, buckets))
+        k = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        return r.join(k, keys + ["__salt"], how).drop("__salt")
+    hot = F.broadcast(hot_keys(per_key, keys, size_col, hot_min))
+    r = (rows.join(hot, keys, "left")
+         .withColumn("__salt", F.when(F.col("__hot"), salt_of(salt_by, buckets)).otherwise(F.lit(0)))
+         .drop("__hot"))
+    k = (per_key.join(hot, keys, "left")
+         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                         .otherwise(F.array(F.lit(0)))))
+         .drop("__hot"))
     return r.join(k, keys + ["__salt"], how).drop("__salt")
 
 
@@ -49,7 +73,7 @@ def with_group_size(rows: DataFrame, keys: list[str], name: str, salt_by: list[s
                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Attach the size of each row's key group without a key-partitioned window."""
     sizes = group_sizes(rows.select(*keys), keys, name)
-    return salted_join(rows, sizes, keys, "left", salt_by, buckets)
+    return salted_join(rows, sizes, keys, "left", salt_by, buckets, size_col=name)
 
 
 def one_row_join(rows: DataFrame, one_row: DataFrame) -> DataFrame:
