@@ -18,9 +18,12 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+WHITESPACE = " \t\n\x0b\x0c\r"
+
+
 def strip_ws(col) -> Column:
     """Remove leading and trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def clean_text(col) -> Column:

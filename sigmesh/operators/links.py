@@ -18,33 +18,40 @@ def clean_links(col, k: int = 15):
     return F.slice(keep, 1, k)
 
 
+def _links_in_set(links: DataFrame, analysed: DataFrame) -> DataFrame:
+    """Distinct links (src != dst) with set membership of both ends."""
+    s = analysed.select("domain").distinct()
+    l = links.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+    return (l.join(s.select(F.col("domain").alias("dst"), F.lit(True).alias("dst_in")), "dst", "left")
+             .join(s.select(F.col("domain").alias("src"), F.lit(True).alias("src_in")), "src", "left"))
+
+
+def _mutual_from(l2: DataFrame) -> DataFrame:
+    # a pair is mutual when both directions exist: one aggregation on the
+    # unordered pair key, no self-join (links are distinct, so count == 2)
+    both = l2.filter(F.col("src_in") & F.col("dst_in"))
+    return (both.groupBy(F.least("src", "dst").alias("domain_a"), F.greatest("src", "dst").alias("domain_b"))
+            .agg(F.count(F.lit(1)).alias("dirs")).filter(F.col("dirs") == 2).drop("dirs"))
+
+
 def mutual_links(links: DataFrame, analysed: DataFrame) -> DataFrame:
     """Undirected pairs (domain_a < domain_b) linking both ways, both in the
-    analysed set (C11).  Keys of this self-join are (src, dst) pairs, which
-    are unique, so no hot key exists."""
-    s = analysed.select(F.col("domain").alias("src")).distinct()
-    l = links.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
-    l = l.join(s, "src", "left_semi").join(s.withColumnRenamed("src", "dst"), "dst", "left_semi")
-    fwd = l.filter(F.col("src") < F.col("dst"))
-    back = l.filter(F.col("src") > F.col("dst")).select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return fwd.join(back, ["src", "dst"], "inner").select(
-        F.col("src").alias("domain_a"), F.col("dst").alias("domain_b"))
+    analysed set (C11).  Grouping on the unordered pair key has no hot key:
+    each key holds at most two rows."""
+    return _mutual_from(_links_in_set(links, analysed))
 
 
 def link_signal(links: DataFrame, analysed: DataFrame, cfg: Settings) -> DataFrame:
     """Per analysed domain: n_links, in_set_links, insular_score,
-    mutual_link_count, link_network_flagged (D6, D7, G4)."""
+    mutual_link_count, link_network_flagged (D6, D7, G4).  Both branches read
+    the same distinct-link exchange, which Spark reuses."""
     s = analysed.select("domain").distinct()
-    l = links.select("src", "dst").distinct()
-    in_set = l.join(s.select(F.col("domain").alias("dst"), F.lit(1).alias("in_set")), "dst", "left")
-    per_src = (in_set.groupBy("src")
+    l2 = _links_in_set(links, s)
+    per_src = (l2.groupBy(F.col("src").alias("domain"))
                .agg(F.count(F.lit(1)).alias("n_links"),
-                    F.sum(F.when((F.col("in_set") == 1) & (F.col("dst") != F.col("src")), 1)
-                          .otherwise(0)).alias("in_set_links"))
-               .withColumnRenamed("src", "domain"))
-    mutual = mutual_links(l, s)
-    mcount = (mutual.select(F.col("domain_a").alias("domain"))
-              .unionByName(mutual.select(F.col("domain_b").alias("domain")))
+                    F.sum(F.coalesce(F.col("dst_in"), F.lit(False)).cast("int")).alias("in_set_links")))
+    mutual = _mutual_from(l2)
+    mcount = (mutual.select(F.explode(F.array("domain_a", "domain_b")).alias("domain"))
               .groupBy("domain").agg(F.count(F.lit(1)).alias("mutual_link_count")))
     set_size = s.agg(F.count(F.lit(1)).alias("set_size"))
     j = one_row_join(s.join(per_src, "domain", "left").join(mcount, "domain", "left"), set_size)
