@@ -172,6 +172,19 @@ STORED_REASONS = (
 STORED_NONE = "No strong warning signals were found in stored graph features"
 RECENT_REASONS = ("high content similarity", "multiple detection signals", "very recent domain registration")
 RECENT_NONE = "suspicious network indicators"
+# Evidence tiers by raw similarity (>= .85, >= .75, else).
+EVIDENCE_TIERS = (
+    "Very high — strong indicator of copied or templated content",
+    "Moderately high — possible coordination, verify content manually",
+    "Low-moderate — likely topic or geographic overlap, not coordination",
+)
+# Cluster summary sentences; the REVIEW one states that two signals fired.
+CLUSTER_TEXT = (
+    "High Risk - Likely part of a fake network. %d domain(s) were flagged with converging signals. Confidence: %d%%.",
+    "Suspicious - Some warning signs detected. %d domain(s) need a closer look. Two signals fired, so this is "
+    "not a confirmed synthetic network yet.",
+    "Looks Legitimate - No warning signs were detected. All %d domains currently appear organic.",
+)
 PRELIMINARY_NONE = "No strong warning signs were found in quick domain-registration heuristics"
 
 

@@ -33,6 +33,31 @@ def plan_batches(domains: DataFrame, cap: int = 40, size: int = 10) -> DataFrame
     return top.withColumn("batch_id", F.floor((rn - 1) / size).cast("int"))
 
 
+def monitor_cycles(feed: DataFrame, verdicts: DataFrame, window: str = "6 hours", cap: int = 40,
+                   size: int = 10) -> DataFrame:
+    """One monitor run per time window (Q5 as a batch roll-up): the window's
+    feed domains, sorted, first ``cap`` (two-stage top-k, so a busy window
+    is ranked in many tasks), chunks of ``size``; a batch is synthetic when
+    one of its domains has a SYNTHETIC verdict (D13)."""
+    from .skew import top_k_per_key
+    f = (feed.select("domain", F.window("ts", window).start.alias("ran_at"))
+         .groupBy("ran_at", "domain").agg(F.count(F.lit(1)).alias("hits")))
+    counts = f.groupBy("ran_at").agg(F.count(F.lit(1)).alias("reddit_count"),
+                                     F.sum("hits").alias("feed_rows"))
+    top = top_k_per_key(f, "ran_at", [F.asc("domain")], cap, ["domain"])
+    top = top.withColumn("batch_id", F.floor((F.col("rank") - 1) / size).cast("int"))
+    v = top.join(verdicts.select("domain", "verdict"), "domain", "left")
+    b = v.groupBy("ran_at", "batch_id").agg(F.max((F.col("verdict") == "SYNTHETIC").cast("int")).alias("syn"),
+                                            F.count(F.lit(1)).alias("n"))
+    runs = b.groupBy("ran_at").agg(F.sum("n").cast("int").alias("queued_unique"),
+                                   F.count(F.lit(1)).cast("int").alias("batches"),
+                                   F.sum("n").cast("int").alias("results"),
+                                   F.coalesce(F.sum("syn"), F.lit(0)).cast("int").alias("synthetic_batches"))
+    return runs.join(counts, "ran_at").select(
+        "ran_at", F.lit(0).cast("int").alias("whoisds_count"), F.col("reddit_count").cast("int"),
+        "queued_unique", "batches", "results", "synthetic_batches")
+
+
 def failed_domains(seeds: DataFrame, results: DataFrame) -> DataFrame:
     """Seeds without a result."""
     return seeds.select("domain").join(results.select("domain"), "domain", "left_anti")
@@ -74,11 +99,12 @@ def latest_run(runs: DataFrame) -> DataFrame:
 
 
 def run_timeline(runs: DataFrame) -> DataFrame:
-    """"Run i" labels by time and synthetic rate per run (E3); runs are one
-    line per cycle, so the global order is over a small table."""
+    """"Run i" labels by time, synthetic rate and chip per run (E3, B25); runs
+    are one line per cycle, so the global order is over a small table."""
     rate = F.when(F.col("batches") > 0, F.col("synthetic_batches") / F.col("batches")).otherwise(F.lit(0.0))
-    return runs.withColumn("run", F.concat(F.lit("Run "), F.row_number().over(Window.orderBy("ran_ts")).cast("string"))) \
-               .withColumn("synthetic_rate", F.round(rate, 4))
+    return (runs.withColumn("run", F.concat(F.lit("Run "), F.row_number().over(Window.orderBy("ran_ts")).cast("string")))
+                .withColumn("synthetic_rate", F.round(rate, 4))
+                .withColumn("chip", run_chip(rate)).withColumn("threat", threat_level(rate)))
 
 
 def rate_trend(runs: DataFrame) -> DataFrame:

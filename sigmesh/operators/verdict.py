@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import RISK_COPY, SIGNAL_COLUMNS, SIGNAL_NAMES, Settings
+from ..config import CLUSTER_TEXT, EVIDENCE_TIERS, RISK_COPY, SIGNAL_COLUMNS, SIGNAL_NAMES, Settings
 from .archive import effective_age
 
 SIGNAL_OUT = ("signal_1_similarity", "signal_2_cadence", "signal_3_whois", "signal_4_hosting",
@@ -199,11 +199,19 @@ def cluster_summary(v: DataFrame, batch_col: str | None = None) -> DataFrame:
 
 
 def cluster_text(summary: DataFrame) -> DataFrame:
-    """One summary sentence per cluster (D11; REVIEW wording corrected, K15)."""
-    return summary.withColumn("summary", F.format_string(
-        "%d domains analysed: %d synthetic, %d need review (2 signals), %d organic. Cluster verdict: %s.",
-        F.col("domains"), F.col("synthetic_domains"), F.col("review_domains"), F.col("organic_domains"),
-        F.col("cluster_verdict")))
+    """One summary sentence per cluster (D11; the REVIEW sentence says two
+    signals, K15).  Confidence as a whole percent, half-up."""
+    pct = F.round(F.col("max_confidence") * 100, 0).cast("int")
+    return summary.withColumn("summary", F.when(
+        F.col("cluster_verdict") == "SYNTHETIC", F.format_string(CLUSTER_TEXT[0], F.col("synthetic_domains"), pct))
+        .when(F.col("cluster_verdict") == "REVIEW", F.format_string(CLUSTER_TEXT[1], F.col("review_domains")))
+        .otherwise(F.format_string(CLUSTER_TEXT[2], F.col("domains"))))
+
+
+def evidence_tier(col: str = "score") -> Column:
+    """>= .85, >= .75, else."""
+    c = F.col(col)
+    return F.when(c >= 0.85, EVIDENCE_TIERS[0]).when(c >= 0.75, EVIDENCE_TIERS[1]).otherwise(EVIDENCE_TIERS[2])
 
 
 def domain_view(v: DataFrame) -> DataFrame:
