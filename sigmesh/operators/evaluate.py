@@ -169,3 +169,12 @@ def cluster_eval(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
                                F.round(F.avg("flagged"), 4).alias("flagged_rate"),
                                F.round(F.avg("signals_triggered"), 4).alias("mean_signals"))
     return g
+
+
+def silent_failure(probs: DataFrame, t: float, outlets=None) -> DataFrame:
+    """Listed wire/local outlets whose probability reaches ``t`` (must be
+    empty for a safe model).  The outlet list is a fixed literal list, so it
+    is compiled into ``isin`` rather than joined."""
+    from ..config import AUTHORITY_DOMAINS
+    lst = list(outlets or AUTHORITY_DOMAINS)
+    return probs.filter(F.col("domain").isin(*lst) & (F.col("prob") >= t))

@@ -51,8 +51,8 @@ def prepare_vectors(vecs: DataFrame, cfg: Settings, text_col: str = "text") -> D
 
 
 def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixed_m: float,
-                edge_floor: float, plain: bool = False):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+                edge_floor: float, plain: bool = False, top_k: int = 0):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(key[0]), int(key[1])
         left = pdf[pdf["blk"] == lo].reset_index(drop=True)
         right = left if lo == hi else pdf[pdf["blk"] == hi].reset_index(drop=True)
@@ -102,6 +102,18 @@ def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixe
                 "domain_b": right["domain"].to_numpy()[jj], "raw": raw[ii, jj], "eff": eff[ii, jj],
                 "n": np.zeros(len(ii), np.int64), "sum_eff": np.nan, "max_eff": np.nan,
                 "n_over": (eff[ii, jj] >= thr[ii, jj]).astype(np.int64)}))
+        if top_k > 0:
+            # this task's best ``top_k`` comparable pairs by raw score (F2 fallback)
+            cand = np.triu(valid, 1) if lo == hi else valid
+            ti, tj = np.nonzero(cand)
+            if len(ti):
+                order = np.argsort(-raw[ti, tj], kind="stable")[:top_k]
+                ti, tj = ti[order], tj[order]
+                out.append(pd.DataFrame({
+                    "kind": "top", "domain_a": left["domain"].to_numpy()[ti],
+                    "domain_b": right["domain"].to_numpy()[tj], "raw": raw[ti, tj], "eff": eff[ti, tj],
+                    "n": np.zeros(len(ti), np.int64), "sum_eff": np.nan, "max_eff": np.nan,
+                    "n_over": np.zeros(len(ti), np.int64)}))
         if not out:
             return pd.DataFrame(columns=[c.split()[0] for c in BLOCK_OUT.split(", ")])
         return pd.concat(out, ignore_index=True)
@@ -109,7 +121,7 @@ def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixe
 
 
 def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor: float | None = None,
-                   plain: bool = False) -> DataFrame:
+                   plain: bool = False, top_k: int = 0) -> DataFrame:
     """Blocked exact all-pairs pass; returns the mixed 'pair'/'part' rows (persisted,
     both consumers read it)."""
     B = max(int(num_blocks), 1)
@@ -120,7 +132,7 @@ def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor:
             .drop("other"))
     fn = _block_task(cfg.sim_threshold, cfg.authority_pair_weight, cfg.authority_mixed_weight,
                      cfg.authority_pair_mult, cfg.authority_mixed_mult,
-                     cfg.sim_edge_threshold if edge_floor is None else edge_floor, plain)
+                     cfg.sim_edge_threshold if edge_floor is None else edge_floor, plain, top_k)
     out = (rows.select("lo", "hi", "blk", "domain", "parent", "u", "auth", "synd")
            .groupBy("lo", "hi").applyInPandas(fn, BLOCK_OUT))
     return out.persist(StorageLevel.MEMORY_AND_DISK)
@@ -163,6 +175,21 @@ def edge_features(domains: DataFrame, edges: DataFrame, flag_at: float) -> DataF
                     (F.coalesce("m", F.lit(0.0)) >= flag_at).cast("int").alias("similarity_flag"))
 
 
+def pairs_or_top(blocks: DataFrame, k: int = 100) -> DataFrame:
+    """the pairs over the edge threshold; when there are none, the ``k``
+    best pairs overall.  Each block task already kept its own best ``k``
+    (``top_k``), so the global top-k reads at most k × block pairs rows; the
+    "none over threshold" test is a scalar subquery, not a driver branch."""
+    over = blocks.filter(F.col("kind") == "pair").select(
+        F.least("domain_a", "domain_b").alias("domain_a"), F.greatest("domain_a", "domain_b").alias("domain_b"), "raw")
+    n_over = over.agg(F.count(F.lit(1)).alias("n")).scalar()
+    top = (blocks.filter(F.col("kind") == "top")
+           .select(F.least("domain_a", "domain_b").alias("domain_a"),
+                   F.greatest("domain_a", "domain_b").alias("domain_b"), "raw")
+           .orderBy(F.desc("raw"), "domain_a", "domain_b").limit(k))
+    return over.unionByName(top.filter(n_over == 0))
+
+
 def similarity_pairs(blocks: DataFrame, min_effective_over: bool = True) -> DataFrame:
     """Pairs (domain_a < domain_b) whose effective similarity reaches the pair
     threshold (C3/C4)."""

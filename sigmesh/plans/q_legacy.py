@@ -11,7 +11,7 @@ from ..operators.cadence import cadence_features, cadence_rule_flag
 from ..operators.evaluate import to_binary
 from ..operators.registration import registrar_clusters, registration_signal
 from ..operators.similarity import (average_similarity_linear, block_products, blocks_for, edge_features,
-                                    prepare_vectors, similarity_pairs)
+                                    pairs_or_top, prepare_vectors, similarity_pairs)
 from ..operators.verdict import verdict_col
 from ..sources.tables import Tables
 from . import mapping as M
@@ -80,6 +80,25 @@ from j
 """
 
 
+@register("similarity_pairs_or_top", ops=("F2", "C3"), sql=f"""
+with v as ({S.VECTORS}), a as (select domain, cast(embedding as double[]) as e from v),
+p as (select x.domain as domain_a, y.domain as domain_b, list_cosine_similarity(x.e, y.e) as raw
+      from a x join a y on x.domain < y.domain),
+o as (select * from p where raw >= 0.5)
+select domain_a, domain_b, round(raw, 4) + 0.0 as score from o
+union all
+select domain_a, domain_b, round(raw, 4) + 0.0 from (select * from p order by raw desc, domain_a, domain_b limit 100) t
+where (select count(*) from o) = 0
+""")
+def q_similarity_pairs_or_top(spark, sf_dir):
+    """Legacy edges at .5 with the top-100 fallback (plain cosine)."""
+    t = Tables(spark, sf_dir)
+    prep = prepare_vectors(M.vectors(t), SIM_CFG)
+    cfg = SIM_CFG.with_(sim_threshold=0.5, sim_edge_threshold=0.5)
+    b = block_products(prep, cfg, blocks_for(t.embeddings.count()), plain=True, top_k=100)
+    return pairs_or_top(b, 100).select("domain_a", "domain_b", F.round("raw", 4).alias("score"))
+
+
 @register("legacy_feature_table", sql=LEGACY_SQL, ops=("Q7", "C1", "C15", "D1", "D2", "D5", "B11", "B33"))
 def q_legacy_feature_table(spark, sf_dir):
     t, prep, pairs = _plain_pairs(spark, sf_dir)
