@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import CDN_ASNS
 from ..functions.domains import is_cdn, org_asn, org_name
-from .skew import group_sizes, salted_join
+from .skew import group_sizes, reuse, salted_join
 
 
 def hosting_records_from_org(df: DataFrame, org_line: str = "org_line") -> DataFrame:
@@ -60,7 +60,7 @@ def hosting_signal(domains: DataFrame, hosting: DataFrame,
     created the same day through the same registrar (C9).  Fewer than two live
     rows means no group can have two members, so all flags are 0 (B35).
     """
-    live = _live_with_keys(hosting, registration)
+    live = reuse(_live_with_keys(hosting, registration))
     # one stacked pass for the four group kinds: (kind, key) memberships ->
     # one partial aggregation -> one skew-safe join back -> pivot per domain
     kinds = (("ip", "k_ip"), ("asn", "k_asn"), ("ip_gate", "k_ip_gate"), ("asn_gate", "k_asn_gate"))

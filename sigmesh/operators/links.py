@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from .skew import one_row_join
+from .skew import one_row_join, reuse
 
 
 def clean_links(col, k: int = 15):
@@ -46,7 +46,7 @@ def link_signal(links: DataFrame, analysed: DataFrame, cfg: Settings) -> DataFra
     mutual_link_count, link_network_flagged (D6, D7, G4).  Both branches read
     the same distinct-link exchange, which Spark reuses."""
     s = analysed.select("domain").distinct()
-    l2 = _links_in_set(links, s)
+    l2 = reuse(_links_in_set(links, s))
     per_src = (l2.groupBy(F.col("src").alias("domain"))
                .agg(F.count(F.lit(1)).alias("n_links"),
                     F.sum(F.coalesce(F.col("dst_in"), F.lit(False)).cast("int")).alias("in_set_links")))

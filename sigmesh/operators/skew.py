@@ -13,6 +13,7 @@ hold a third of all rows.  Two rules follow:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,15 @@ HOT_MIN_ROWS = 200_000
 MAX_HOT_KEYS = 1_000
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Mark an intermediate that one plan reads more than once (for example
+    the rows of a salted join, which feed the per-key sizes, the hot-key list
+    and the join itself).  Without it each branch re-scans the source tables;
+    with it the source is read once and the copy (memory, spilling to disk) is
+    recomputed from lineage if an executor is lost."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def salt_of(cols, buckets: int) -> Column:
     cols = [F.col(c) if isinstance(c, str) else c for c in cols]
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
@@ -46,6 +56,7 @@ def salted_join(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str =
     over ``buckets`` tasks; every other key keeps salt 0 and is joined once.
     Without ``size_col`` every key is treated as hot (full salting)."""
     salt_by = salt_by or rows.columns
+    rows = reuse(rows)
     if size_col is None:
         r = rows.withColumn("__salt", salt_of(salt_by, buckets))
         k = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
@@ -72,6 +83,7 @@ def group_sizes(df: DataFrame, keys: list[str], name: str = "group_size",
 def with_group_size(rows: DataFrame, keys: list[str], name: str, salt_by: list[str],
                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Attach the size of each row's key group without a key-partitioned window."""
+    rows = reuse(rows)
     sizes = group_sizes(rows.select(*keys), keys, name)
     return salted_join(rows, sizes, keys, "left", salt_by, buckets, size_col=name)
 

@@ -14,6 +14,7 @@ from ..operators.registration import registration_signal
 from ..operators.similarity import block_products, blocks_for, prepare_vectors, similarity_scores
 from ..operators.verdict import (SIGNAL_OUT, assemble_features, cluster_summary, domain_view, feature_table,
                                  risk_copy, verdicts)
+from ..operators.skew import reuse
 from ..sources.tables import Tables
 from . import mapping as M
 from . import sql_mapping as S
@@ -35,13 +36,14 @@ FEATURE_COLS = [
 
 def build_features(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    doms = M.analysed_domains(t)
-    vecs = M.vectors(t)
+    doms = reuse(M.analysed_domains(t))          # the base of seven joins
+    regs = reuse(M.registration_records(t))      # registration signal and CDN gate
+    vecs = reuse(M.vectors(t))
     sim = similarity_scores(vecs, block_products(prepare_vectors(vecs, SIM_CFG), SIM_CFG,
                                                  blocks_for(t.embeddings.count())), SIM_CFG)
     cad = cadence_rule_flag(cadence_features(M.publish_times(t))).select("domain", "burst_score", "cadence_flagged")
-    reg = registration_signal(doms, M.registration_records(t), CFG).drop("created_date")
-    host = hosting_signal(doms, hosting_records_from_org(M.hosting_records(t)), M.registration_records(t)) \
+    reg = registration_signal(doms, regs, CFG).drop("created_date")
+    host = hosting_signal(doms, hosting_records_from_org(M.hosting_records(t)), regs) \
         .select("domain", "ip_address", "asn", "hosting_org", "is_cdn", "shared_ip_count",
                 "shared_asn_count", "hosting_flagged")
     link = link_signal(M.outlinks(t), doms, CFG).select("domain", "mutual_link_count", "insular_score",
