@@ -154,7 +154,7 @@ class _Extractor(HTMLParser):
                 self.article.append(data)
 
 
-def _parse_batch(it, token_classes: bool, max_chars: int):
+def _parse_batch(it, token_classes: bool, max_chars: int | None):
     for pdf in it:
         texts, bodies, links = [], [], []
         for html in pdf["html"].fillna(""):
@@ -164,15 +164,16 @@ def _parse_batch(it, token_classes: bool, max_chars: int):
                 p.close()
             except Exception:  # malformed markup: keep what was read
                 pass
-            texts.append(" ".join(" ".join(p.text).split())[:max_chars])
             src = p.article if p.article else p.body
-            bodies.append(" ".join(" ".join(src).split())[:max_chars])
+            t, b = " ".join(" ".join(p.text).split()), " ".join(" ".join(src).split())
+            texts.append(t[:max_chars] if max_chars else t)
+            bodies.append(b[:max_chars] if max_chars else b)
             links.append(p.hrefs)
         yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts,
                             "body_text": bodies, "hrefs": links})
 
 
-def parse_pages(pages: DataFrame, token_classes: bool = True, max_chars: int = 2000) -> DataFrame:
+def parse_pages(pages: DataFrame, token_classes: bool = True, max_chars: int | None = 2000) -> DataFrame:
     """Structural parse of every page (I8): text (boilerplate tags removed),
     body_text (article/main preferred, boilerplate classes removed), hrefs."""
     schema = "page_id long, url string, text string, body_text string, hrefs array<string>"

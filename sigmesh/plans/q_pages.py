@@ -20,7 +20,7 @@ HREF_RE = r'href="([^"]*)"'
 @register("page_parse", ops=("I8", "F9", "H22", "K10"))
 def q_page_parse(spark, sf_dir):
     """Structural parse (stdlib parser in mapInPandas): lengths and link counts."""
-    p = parse_pages(Tables(spark, sf_dir).pages)
+    p = parse_pages(Tables(spark, sf_dir).pages, max_chars=None)  # whole texts
     links = outlinks_from_hrefs(p)
     return (p.select("page_id", F.length("text").alias("text_len"), F.length("body_text").alias("body_len"),
                      F.size("hrefs").alias("hrefs"))
@@ -80,10 +80,10 @@ def q_document_byline_domains(spark, sf_dir):
 
 @register("corpus_read", ops=("A3", "E1", "B2"), sql=f"""
 with a as (
-  select 'd' || cast(doc_id as varchar) as domain, substr(text, 1, 1000) as text, '' as links,
+  select 'd' || cast(doc_id as varchar) as domain, text, '' as links,
          '2024-12-15 03:47:00' as timestamp, 0 as file_rank from documents
   union all
-  select lower(trim({sql_url_domain('url')})), substr({_html_sql('html')}, 1, 1000), '', '2024-12-15 03:47:00', 1
+  select lower(trim({sql_url_domain('url')})), {_html_sql('html')}, '', '2024-12-15 03:47:00', 1
   from pages),
 b as (select * from a where domain is not null and domain <> '' and length(text) > 50)
 select domain, arg_min(text, (file_rank, text)) as text, arg_min(links, (file_rank, text)) as links,

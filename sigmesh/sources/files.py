@@ -33,7 +33,7 @@ def read_pages_archive(spark: SparkSession, path: str, min_body: int = 100, min_
                       F.col("url").startswith("http") & (F.length("html") >= min_body)))
 
 
-def tolerant_corpus(frames: list[DataFrame], max_chars: int = 1000, min_chars: int = 50) -> DataFrame:
+def tolerant_corpus(frames: list[DataFrame], max_chars: int | None = None, min_chars: int = 50) -> DataFrame:
     """Corpus from several sources in priority order (A3): text = first present
     of text/content/page_text/body; links and timestamp likewise with a default
     timestamp; text longer than ``min_chars``; first source wins per domain."""
@@ -46,8 +46,9 @@ def tolerant_corpus(frames: list[DataFrame], max_chars: int = 1000, min_chars: i
                            F.lit("").cast("string"))
         ts = F.coalesce(*[F.col(c).cast("string") for c in ("timestamp", "ts", "published") if c in cols],
                         F.lit(DEFAULT_TS))
+        txt = F.substring(text, 1, max_chars) if max_chars else text  # whole texts unless a cap is asked
         parts.append(df.select(F.lower(F.trim(F.col("domain").cast("string"))).alias("domain"),
-                               F.substring(text, 1, max_chars).alias("text"), links.alias("links"),
+                               txt.alias("text"), links.alias("links"),
                                ts.alias("timestamp"), F.lit(rank).alias("file_rank")))
     allp = parts[0]
     for p in parts[1:]:
