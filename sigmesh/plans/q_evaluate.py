@@ -96,7 +96,7 @@ def q_evaluation_log(spark, sf_dir):
     return eval_log(spark, sf_dir)
 
 
-@register("evaluation_confusion", ops=("D15", "B31"),
+@register("evaluation_confusion", ops=("D15", "B31", "Q6"),
           sql=LOG_SQL + "," + _metrics_sql("log", "label", "predicted_label"))
 def q_evaluation_confusion(spark, sf_dir):
     return binary_metrics(eval_log(spark, sf_dir))

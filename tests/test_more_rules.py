@@ -68,3 +68,16 @@ def test_components_brute_force(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("e", "f")], "domain_a string, domain_b string")
     got = {r.domain: r.component for r in connected_components(nodes, edges).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e", "f": "e", "g": "g"}
+
+
+def test_redirect_links_timestamps(spark):
+    from sigmesh.operators.links import clean_links
+    from sigmesh.operators.pages import is_redirect
+    from sigmesh.functions.timeparts import parse_ts
+    df = spark.createDataFrame([("news.example.com", "other.org"), ("a.example.com", "b.example.com"),
+                                ("x.com", None)], "domain string, final_domain string")
+    assert [r.is_redirect for r in is_redirect(df).orderBy("domain").collect()] == [False, True, False]
+    links = spark.createDataFrame([(" a.com | bad | b.org |x.io|c.net ",)], "links string")
+    assert links.select(clean_links("links", 2)).collect()[0][0] == ["a.com", "b.org"]
+    ts = spark.createDataFrame([("2024-12-01T17:20:07Z",), ("garbage-value-longer-than-19",)], "t string")
+    assert [r[0] for r in ts.select(parse_ts("t")).collect()] == ["2024-12-01 17:20:07", "garbage-value-longe"]
