@@ -35,7 +35,11 @@ from ..config import NAV_PHRASES, Settings
 from ..functions.domains import author_norm, is_authority, not_noise
 from ..functions.text import excerpt, is_syndicated, nav_phrase_flags
 from ..functions.vectors import unit
-from .skew import one_row_join
+from .skew import one_row_join, salted_join
+
+# Above this many vectors the exact all-pairs pass is replaced by the
+# linear-time average plus LSH candidates (``similarity_scores_auto``).
+EXACT_MAX_ROWS = 200_000
 
 BLOCK_OUT = ("kind string, domain_a string, domain_b string, raw double, eff double, "
              "n long, sum_eff double, max_eff double, n_over long")
@@ -315,3 +319,87 @@ def excerpt_col(col, n: int = 400):
 
 
 NAV = NAV_PHRASES
+
+
+def _class_sums(prep: DataFrame, by: list[str], dim_col: str = "u") -> DataFrame:
+    """Per-dimension sums of unit vectors of non-syndicated rows, split by
+    authority class, grouped by ``by`` (partial aggregation; output arrays
+    have the vector dimension, so they are bounded)."""
+    x = prep.filter(~F.col("synd")).select(*by, "auth", F.posexplode(dim_col).alias("k", "x"))
+    g = x.groupBy(*by, "auth", "k").agg(F.sum("x").alias("s"))
+    g = g.groupBy(*by, "auth").agg(F.sort_array(F.collect_list(F.struct("k", "s"))).alias("v"))
+    vec = F.transform("v", lambda e: e["s"])
+    return g.groupBy(*by).agg(
+        F.max(F.when(F.col("auth"), vec)).alias("sum_auth"),
+        F.max(F.when(~F.col("auth"), vec)).alias("sum_non"))
+
+
+def average_effective_linear(prep: DataFrame, cfg: Settings) -> DataFrame:
+    """Exact average effective similarity in linear time (R2, full form):
+    Σ_j eff_ij = x̂_i·(w_i,non·(T_non − P_non(site_i)) + w_i,auth·(T_auth − P_auth(site_i)))
+    over non-syndicated j of other sites; syndicated j stay in the count
+    (their effective score is 0) and a syndicated i scores 0."""
+    dim = F.size("u")
+    zero = lambda: F.array_repeat(F.lit(0.0), dim)
+    tot = _class_sums(prep, [])
+    n_all = prep.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    per_site = _class_sums(prep, ["parent"])
+    site_n = prep.groupBy("parent").agg(F.count(F.lit(1)).alias("n_site"))
+    site = site_n.join(per_site, "parent", "left")
+    j = salted_join(prep, site, ["parent"], "left", ["domain"], size_col="n_site")
+    j = j.withColumn("t_auth", tot.select(F.coalesce("sum_auth", F.array().cast("array<double>"))).scalar()) \
+         .withColumn("t_non", tot.select(F.coalesce("sum_non", F.array().cast("array<double>"))).scalar())
+
+    def diff(a, b):
+        a2 = F.when(F.size(a) > 0, a).otherwise(zero())
+        b2 = F.coalesce(b, zero())
+        return F.zip_with(a2, b2, lambda x, y: x - y)
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    w_non = F.when(F.col("auth"), F.lit(cfg.authority_mixed_weight)).otherwise(F.lit(1.0))
+    w_auth = F.when(F.col("auth"), F.lit(cfg.authority_pair_weight)).otherwise(F.lit(cfg.authority_mixed_weight))
+    s = dot("u", diff(F.col("t_non"), F.col("sum_non"))) * w_non + dot("u", diff(F.col("t_auth"), F.col("sum_auth"))) * w_auth
+    n_valid = n_all - F.col("n_site")
+    avg = F.when(F.col("synd") | (n_valid <= 0), F.lit(0.0)).otherwise(s / n_valid)
+    return j.select("domain", avg.alias("avg_similarity"), n_valid.alias("n_valid"))
+
+
+def similarity_scores_scalable(domains: DataFrame, prep: DataFrame, cfg: Settings,
+                               bucket_length: float = 1.0, tables: int = 6) -> DataFrame:
+    """Scale path for D3 (no all-pairs work): exact average by the linear
+    identity; maximum, flag and over-threshold count from LSH candidates
+    re-checked exactly.  Every pair whose effective score can reach a pair
+    threshold has raw cosine >= the base threshold, so candidates at the base
+    threshold cover all of them (up to LSH recall); a domain without a
+    candidate reports max 0, which is below every flag threshold."""
+    avg = average_effective_linear(prep, cfg)
+    cand = lsh_pairs(prep, cfg.sim_threshold, bucket_length, tables)
+    a = prep.select("domain", "auth", "synd")
+    e = (cand.join(a.select(F.col("domain").alias("domain_a"), F.col("auth").alias("aa"), F.col("synd").alias("sa")),
+                   "domain_a")
+         .join(a.select(F.col("domain").alias("domain_b"), F.col("auth").alias("ab"), F.col("synd").alias("sb")),
+               "domain_b"))
+    both, one = F.col("aa") & F.col("ab"), F.col("aa") | F.col("ab")
+    eff = F.when(F.col("sa") | F.col("sb"), F.lit(0.0)).when(both, F.col("raw") * cfg.authority_pair_weight) \
+           .when(one, F.col("raw") * cfg.authority_mixed_weight).otherwise(F.col("raw"))
+    thr = F.when(both, cfg.sim_threshold * cfg.authority_pair_mult).when(one, cfg.sim_threshold * cfg.authority_mixed_mult) \
+           .otherwise(F.lit(cfg.sim_threshold))
+    e = e.select("domain_a", "domain_b", eff.alias("eff"), (eff >= thr).cast("int").alias("over"))
+    per = (e.select(F.explode(F.array("domain_a", "domain_b")).alias("domain"), "eff", "over")
+           .groupBy("domain").agg(F.max("eff").alias("mx"), F.sum("over").alias("k")))
+    j = domains.select("domain").join(avg, "domain", "left").join(per, "domain", "left")
+    mx = F.coalesce(F.col("mx"), F.lit(0.0))
+    return j.select("domain", F.round(F.coalesce("avg_similarity", F.lit(0.0)), 4).alias("avg_similarity"),
+                    F.round(mx, 4).alias("max_similarity"),
+                    (mx >= cfg.sim_threshold).cast("int").alias("similarity_flag"),
+                    F.coalesce(F.col("k"), F.lit(0)).cast("int").alias("similar_domain_count"))
+
+
+def similarity_scores_auto(vecs: DataFrame, cfg: Settings, n_rows: int) -> DataFrame:
+    """Exact blocked pass up to ``EXACT_MAX_ROWS`` vectors, scalable path above."""
+    prep = prepare_vectors(vecs, cfg)
+    if n_rows <= EXACT_MAX_ROWS:
+        return similarity_scores(vecs, block_products(prep, cfg, blocks_for(n_rows)), cfg)
+    return similarity_scores_scalable(vecs, prep, cfg)

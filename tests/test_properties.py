@@ -72,3 +72,22 @@ def test_scan_pruning(spark):
     reg = load_all()
     plan = reg["cadence_features"].build(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan or "ReadSchema: struct<ts" in plan
+
+
+def test_scalable_similarity_matches_exact(spark):
+    from sigmesh.operators.similarity import average_effective_linear, similarity_scores_scalable
+    t = Tables(spark, SF001)
+    v = M.vectors(t)
+    # mark some rows as authority-like and syndicated through the text to exercise every term
+    prep = prepare_vectors(v, CFG)
+    prep = prep.withColumn("auth", F.col("domain").isin("d1", "d2", "d3", "d40")) \
+               .withColumn("synd", F.col("domain").isin("d5", "d6"))
+    exact = {r.domain: r for r in similarity_scores(v, block_products(prep, CFG, 3), CFG).collect()}
+    lin = {r.domain: r.avg_similarity for r in average_effective_linear(prep, CFG).collect()}
+    assert max(abs(round(lin[d], 4) - exact[d].avg_similarity) for d in exact) <= 1e-4
+    sc = {r.domain: r for r in similarity_scores_scalable(v, prep, CFG).collect()}
+    for d, r in exact.items():
+        assert sc[d].avg_similarity == r.avg_similarity
+        assert sc[d].similar_domain_count <= r.similar_domain_count
+        if r.similarity_flag == 1:
+            assert sc[d].max_similarity <= r.max_similarity
