@@ -31,9 +31,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import NAV_PHRASES, Settings
+from ..config import Settings
 from ..functions.domains import author_norm, is_authority, not_noise
-from ..functions.text import excerpt, is_syndicated, nav_phrase_flags
+from ..functions.text import is_syndicated, nav_phrase_flags
 from ..functions.vectors import unit
 from .skew import one_row_join, salted_join
 
@@ -314,12 +314,6 @@ def seed_vs_corpus(seeds: DataFrame, corpus: DataFrame, cfg: Settings, buckets:
         F.sum((F.col("eff") >= F.col("thr")).cast("int")).cast("int").alias("similar_domain_count"))
 
 
-def excerpt_col(col, n: int = 400):
-    return excerpt(col, n)
-
-
-NAV = NAV_PHRASES
-
 
 def _class_sums(prep: DataFrame, by: list[str], dim_col: str = "u") -> DataFrame:
     """Per-dimension sums of unit vectors of non-syndicated rows, split by
