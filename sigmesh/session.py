@@ -34,13 +34,12 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.driver.bindAddress": "127.0.0.1",
     })
     conf.update(extra or {})
-    if master and master.startswith("local") and "spark.checkpoint.dir" not in conf:
-        # Local run only; on a cluster the shared folder comes from its config.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="sigmesh-ckpt-", dir="/tmp")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # The shared folder comes from the cluster's config; only an unset one
+    # (tests, local runs) gets a local folder.
     ensure_checkpoint_dir(spark)
     return spark
 
