@@ -48,11 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (tests, local runs) is a fresh local folder made.
+    Only when it is unset on a local master (tests, local runs) is a fresh
+    local folder made; a cluster without it is an error, since a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         d = tempfile.mkdtemp(prefix="sigmesh-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
