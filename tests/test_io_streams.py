@@ -65,3 +65,40 @@ def test_reports_and_metrics(spark):
     write_metrics(spark.createDataFrame([("f1", 0.6)], "metric string, value double"), m, "ablation")
     got = {(r.section, r.metric): r.value for r in spark.read.parquet(m).collect()}
     assert got == {("ablation", "f1"): 0.6, ("comparison", "auc"): 0.8}
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Ctx:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def getConf(self):
+        return _Conf()
+
+    def setCheckpointDir(self, d):
+        self._ckpt = d
+
+
+class _Session:
+    def __init__(self, ctx):
+        self.sparkContext = ctx
+
+
+def test_checkpoint_dir_is_taken_from_the_session_and_never_local_on_a_cluster():
+    import pytest
+
+    from sigmesh.session import ensure_checkpoint_dir
+    # a configured shared folder is used as is
+    assert ensure_checkpoint_dir(_Session(_Ctx("yarn", "hdfs:///shared/ckpt"))) == "hdfs:///shared/ckpt"
+    # unset on a cluster master: refuse rather than fall back to a machine-local folder
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session(_Ctx("yarn")))
+    # unset on a local master (tests): a local folder is made
+    assert ensure_checkpoint_dir(_Session(_Ctx("local[2]"))).startswith("/tmp/")
