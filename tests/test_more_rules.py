@@ -81,3 +81,16 @@ def test_redirect_links_timestamps(spark):
     assert links.select(clean_links("links", 2)).collect()[0][0] == ["a.com", "b.org"]
     ts = spark.createDataFrame([("2024-12-01T17:20:07Z",), ("garbage-value-longer-than-19",)], "t string")
     assert [r[0] for r in ts.select(parse_ts("t")).collect()] == ["2024-12-01 17:20:07", "garbage-value-longe"]
+
+
+def test_bylines_three_patterns_in_order_noise_dropped_distinct(spark):
+    from sigmesh.operators.pages import bylines_col
+    text = ("By John Smith. Author: Jane Doe wrote this. Written by Staff Writer today. "
+            "by John Smith again. By Al Li")
+    got = spark.createDataFrame([(text,), (None,)], "t string").select(bylines_col("t").alias("b")).collect()
+    # pattern 1 hits first (John Smith, Staff Writer, John Smith, Al Li), then
+    # pattern 2 (Jane Doe), then pattern 3 (Staff Writer); the desk name is
+    # dropped, "Al Li" has exactly the minimum 5 chars, repeats keep their
+    # first place
+    assert got[0].b == ["John Smith", "Al Li", "Jane Doe"]
+    assert got[1].b == []
