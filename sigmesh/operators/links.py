@@ -19,7 +19,11 @@ def clean_links(col, k: int = 15):
 
 
 def _links_in_set(links: DataFrame, analysed: DataFrame) -> DataFrame:
-    """Distinct links (src != dst) with set membership of both ends."""
+    """Distinct links (src != dst) with set membership of both ends.
+
+    The set side holds one row per domain; a hot ``dst`` or ``src`` on the
+    link side is split by AQE's skew join (both inputs are shuffle stages),
+    and a small set is broadcast by AQE's size check."""
     s = analysed.select("domain").distinct()
     l = links.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     return (l.join(s.select(F.col("domain").alias("dst"), F.lit(True).alias("dst_in")), "dst", "left")
