@@ -113,3 +113,10 @@ def test_wide_table_scans_are_pruned(spark):
                 assert read < total, (name, table, read, total)
                 checked.add(table)
     assert {"lineitem", "orders", "customer", "documents"} <= checked
+
+
+def test_seed_filter_reaches_the_scan(spark):
+    """The seed-outlet filter is pushed into the documents scan, through the
+    hashed-embedding projection."""
+    plan = load_all()["excerpt_evidence"].build(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(source,src0)" in plan
