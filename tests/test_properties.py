@@ -120,3 +120,38 @@ def test_seed_filter_reaches_the_scan(spark):
     hashed-embedding projection."""
     plan = load_all()["excerpt_evidence"].build(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(source,src0)" in plan
+
+
+def _skewed(spark):
+    # key 0 holds 40% of the rows; the rest spread over 50 keys
+    return spark.range(5000).select(
+        F.when(F.col("id") % 5 < 2, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("k"),
+        F.col("id").alias("row"), (F.col("id") * 7919 % 1000).alias("v"))
+
+
+def test_salted_join_equals_plain_join_on_a_hot_key(spark):
+    from sigmesh.operators.skew import group_sizes, salted_join
+    rows = _skewed(spark)
+    sizes = group_sizes(rows.select("k"), ["k"], "n")
+    want = sorted(rows.join(sizes, "k", "left").collect())
+    for hot_min in (1, 10 ** 9):  # every key hot / no key hot
+        got = salted_join(rows, sizes, ["k"], "left", ["row"], buckets=8, size_col="n", hot_min=hot_min)
+        assert sorted(got.select(*want[0].__fields__).collect()) == want, hot_min
+    full = salted_join(rows, sizes, ["k"], "left", ["row"], buckets=8)  # full salting
+    assert sorted(full.select(*want[0].__fields__).collect()) == want
+
+
+def test_group_size_and_two_stage_top_k_equal_window_forms(spark):
+    from pyspark.sql import Window
+
+    from sigmesh.operators.skew import top_k_per_key, with_group_size
+    rows = _skewed(spark)
+    got = {(r.row, r.n) for r in with_group_size(rows, ["k"], "n", ["row"], buckets=8).collect()}
+    want = {(r.row, r.n) for r in rows.select("row", F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"))
+            .collect()}
+    assert got == want
+    order = [F.col("v").desc(), F.col("row")]
+    top = top_k_per_key(rows, "k", order, 5, ["row"], buckets=8)
+    w = Window.partitionBy("k").orderBy(*order)
+    ref = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
+    assert sorted(top.select("k", "row", "rank").collect()) == sorted(ref.select("k", "row", "rank").collect())
