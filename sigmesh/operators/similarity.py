@@ -28,6 +28,8 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,13 +260,14 @@ def classify_pairs(pairs: DataFrame, vecs: DataFrame, bylines: DataFrame | None,
 def average_similarity_linear(prep: DataFrame) -> DataFrame:
     """Plain average cosine of each domain to all others in linear time (R2,
     D4 retrain form: no site, authority or syndication terms):
-    avg_i = (x̂_i·Σx̂ − x̂_i·x̂_i) / (n − 1)."""
-    dim_sum = prep.select(F.posexplode("u").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("s"))
-    total = dim_sum.agg(F.sort_array(F.collect_list(F.struct("k", "s"))).alias("tot"))
+    avg_i = (x̂_i·Σx̂ − x̂_i·x̂_i) / (n − 1).
+
+    Σx̂ is one MLlib ``Summarizer`` sum: a per-task vector buffer merged
+    across tasks, with no per-dimension rows."""
+    total = prep.agg(vector_to_array(Summarizer.sum(array_to_vector("u"))).alias("tot"))
     n = prep.agg(F.count(F.lit(1)).alias("n"))
     j = one_row_join(one_row_join(prep, total), n)
-    dot_tot = F.aggregate(F.zip_with("u", F.transform("tot", lambda t: t["s"]), lambda a, b: a * b),
-                          F.lit(0.0), lambda acc, x: acc + x)
+    dot_tot = F.aggregate(F.zip_with("u", "tot", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     self_dot = F.aggregate("u", F.lit(0.0), lambda acc, x: acc + x * x)
     return j.select("domain", F.when(F.col("n") > 1, (dot_tot - self_dot) / (F.col("n") - 1))
                     .otherwise(F.lit(0.0)).alias("avg_cosine"))
