@@ -320,12 +320,12 @@ def seed_vs_corpus(seeds: DataFrame, corpus: DataFrame, cfg: Settings, buckets:
 
 def _class_sums(prep: DataFrame, by: list[str], dim_col: str = "u") -> DataFrame:
     """Per-dimension sums of unit vectors of non-syndicated rows, split by
-    authority class, grouped by ``by`` (partial aggregation; output arrays
-    have the vector dimension, so they are bounded)."""
-    x = prep.filter(~F.col("synd")).select(*by, "auth", F.posexplode(dim_col).alias("k", "x"))
-    g = x.groupBy(*by, "auth", "k").agg(F.sum("x").alias("s"))
-    g = g.groupBy(*by, "auth").agg(F.sort_array(F.collect_list(F.struct("k", "s"))).alias("v"))
-    vec = F.transform("v", lambda e: e["s"])
+    authority class, grouped by ``by``: one ``Summarizer`` vector sum per
+    group (partial aggregation, so a hot site is combined map-side; output
+    arrays have the vector dimension, so they are bounded)."""
+    x = prep.filter(~F.col("synd")).select(*by, "auth", array_to_vector(dim_col).alias("vv"))
+    g = x.groupBy(*by, "auth").agg(vector_to_array(Summarizer.sum(F.col("vv"))).alias("v"))
+    vec = F.col("v")
     return g.groupBy(*by).agg(
         F.max(F.when(F.col("auth"), vec)).alias("sum_auth"),
         F.max(F.when(~F.col("auth"), vec)).alias("sum_non"))
