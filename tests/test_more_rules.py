@@ -70,6 +70,16 @@ def test_components_brute_force(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e", "f": "e", "g": "g"}
 
 
+def test_components_of_a_long_chain_and_a_hub(spark):
+    from sigmesh.operators.components import component_labels
+    chain = [(i, i + 1) for i in range(120)]
+    hub = [(500, 1000 + i) for i in range(300)]
+    edges = spark.createDataFrame(chain + hub + [(7, 7), (3, 2)], "a long, b long")
+    got = {r["node"]: r["component"] for r in component_labels(edges, "a", "b").collect()}
+    assert got == {**{i: 0 for i in range(121)}, 500: 500, **{1000 + i: 500 for i in range(300)}}
+    assert component_labels(edges.limit(0), "a", "b").count() == 0
+
+
 def test_redirect_links_timestamps(spark):
     from sigmesh.operators.links import clean_links
     from sigmesh.operators.pages import is_redirect
