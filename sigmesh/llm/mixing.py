@@ -36,6 +36,7 @@ MARKERS = 64
 MARKER_DOCS = 4
 ROUNDS = 40
 CLOSE = 1e-4
+GAIN = 1e-3
 PREFIX = 5
 SMOOTH = 0.5
 
@@ -187,7 +188,10 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], to
         if part == 0.0:
             break
         steps.append((size, part, list(e)))
+        was = sum(x * x for x in e)
         e = [x + part * y for x, y in zip(e, g)]
+        if sum(x * x for x in e) > (1 - GAIN) * was:
+            break
         size = max(got["dd"] / n / gg, 1e-3)
     return _rate(start, steps), {d: (x + t) * n for d, x, t in zip(domains, e, goal)}
 
