@@ -128,9 +128,9 @@ def fit_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, rows:
            .filter("_id is not null and domain is not null").groupBy("_id").agg(F.min("domain").alias("domain"))
            .orderBy(F.xxhash64("_id"), "_id").limit(rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
-    sample = texts.join(F.broadcast(own), "_id")  # at most ``rows`` labels
+    sample = texts.join(F.broadcast(own), "_id")  # at most ``rows`` ids, one text each
     scratch = Scratch(spark, "mixing")
-    sample = scratch.table(sample.select("domain", "_t"), "sample")
+    sample = scratch.table(sample.groupBy("_id", "domain").agg(F.min("_t").alias("_t")).select("domain", "_t"), "sample")
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None

@@ -24,6 +24,8 @@ import pyarrow as pa
 KEPT_PIECES = 600_000
 #: New pieces that go through the library in one text, between marks.
 JOINED = 256
+#: Signs that both kinds of tokenizer cut off a word of letters only.
+_SIGNS = ".,;:!%&$#*|"
 _ODD = re.compile("[\x1c-\x1f]")  # white space for str.split, but not for the tokenizers
 
 
@@ -91,6 +93,16 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         """Append the ids of new pieces to the store, in their order; a piece that can't stand alone gets length -1."""
         ids: dict[str, bytes] = {}
+        # a word of letters and its closing signs are tokens of their own: their ids are joined
+        ends = {}
+        for k in new:
+            word = k.rstrip(_SIGNS)
+            if len(word) < len(k) and word.isalpha():
+                ends[k] = word, k[len(word):]
+        extra = {w for w, _ in ends.values()}.difference(new)
+        parts = {t for _, t in ends.values()}
+        signs = dict(zip(parts, self._whole(list(parts))))
+        asked, new = new, [k for k in new if k not in ends] + list(extra)
         marked = [k for k in new if self.mark in k]
         if self.cuts == "words":
             plain = [k for k in new if self.mark not in k]
@@ -101,7 +113,9 @@ class Encoder:
             ids.update(zip(plain, self._each([" " + k for k in plain])))
             heads = [k for k in new if k[:1] == "\0" and k[1:] and "\0" not in k[1:] and not k[-1].isspace()]
             ids.update(zip(heads, self._whole([k[1:] for k in heads])))
-        blobs = [ids.get(k) for k in new]
+        for k, (word, tail) in ends.items():
+            ids[k] = ids[word] + signs[tail]
+        blobs = [ids.get(k) for k in asked]
         self.starts.append(np.cumsum([self.stored, *[len(b or b"") // 4 for b in blobs]])[:-1])
         self.sizes.append(np.array([-1 if b is None else len(b) // 4 for b in blobs], dtype=np.int64))
         flat = np.frombuffer(b"".join(b or b"" for b in blobs), "<u4")
