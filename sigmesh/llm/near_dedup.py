@@ -16,7 +16,8 @@ No group is ever expanded into all its pairs:
 * then only buckets that still hold several components are looked at, and
   only pairs across components. Members of a bucket's largest component meet
   the others block against block (``BLOCK`` rows at most on a side) inside a
-  task, which returns the pairs whose sketches are close.
+  task, which returns the pairs whose sketches are close. Here a sharper
+  sketch of more samples decides, made only for the members of such buckets.
 Within a component no further link can change the result, so nothing is lost.
 
 Defined cases: null or empty texts, or texts of white space only, have no
@@ -45,12 +46,14 @@ PER_CENT = 85  # link when 100 * intersection >= PER_CENT * union
 BANDS, ROWS = 72, 8
 SKETCH_BITS = 1024
 DEVIATIONS = 6.5
+#: Samples, bits and deviations of the sharper sketch for pairs inside open buckets.
+WIDE_SAMPLES, WIDE_BITS, WIDE_DEVIATIONS = 4608, 8192, 5.5
 BLOCK = 1024
 
 _SAMPLES = BANDS * ROWS
 _RNG = np.random.default_rng(20240229)
-_MUL = (_RNG.integers(0, 1 << 31, _SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
-_ADD = _RNG.integers(0, 1 << 32, _SAMPLES, dtype=np.uint64).astype(np.uint32)
+_MUL = (_RNG.integers(0, 1 << 31, WIDE_SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
+_ADD = _RNG.integers(0, 1 << 32, WIDE_SAMPLES, dtype=np.uint64).astype(np.uint32)
 
 
 def shingle_sets(chunk: textkit.Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -80,36 +83,54 @@ def shingle_sets(chunk: textkit.Chunk) -> tuple[np.ndarray, np.ndarray]:
     return out[new], kept[off]
 
 
+def min_hashes(sets: np.ndarray, at: np.ndarray, samples: int) -> np.ndarray:
+    """MinHash values (texts x samples) of the sets that begin at ``at``."""
+    h = (sets >> np.uint64(32)).astype(np.uint32)
+    low = np.empty((len(at), samples), dtype=np.uint32)
+    x = np.empty_like(h)
+    for i in range(samples):
+        np.multiply(h, _MUL[i], out=x)
+        np.add(x, _ADD[i], out=x)
+        low[:, i] = np.minimum.reduceat(x, at)
+    return low
+
+
+def odd_sketches(low: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps (as 64-bit words) of the hashed samples of every text."""
+    n, samples = low.shape
+    bit = textkit.mix(low.astype(np.uint64) + (np.arange(samples, dtype=np.uint64) << np.uint64(32)), 5) & np.uint64(bits - 1)
+    flat = (np.arange(n)[:, None] * bits + bit.astype(np.int64)).reshape(-1)
+    odd = np.bincount(flat, minlength=n * bits).reshape(n, bits) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
 def signatures(sets: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For texts with shingles: two sums that name the set, the sketch (as 64-bit words) and the band keys."""
     full = np.flatnonzero(np.diff(off))
     at = off[:-1][full]
     k1 = np.add.reduceat(textkit.mix(sets, 11), at)
     k2 = np.add.reduceat(textkit.mix(sets, 12), at)
-    h = (sets >> np.uint64(32)).astype(np.uint32)
-    low = np.empty((len(full), _SAMPLES), dtype=np.uint32)
-    x = np.empty_like(h)
-    for i in range(_SAMPLES):
-        np.multiply(h, _MUL[i], out=x)
-        np.add(x, _ADD[i], out=x)
-        low[:, i] = np.minimum.reduceat(x, at)
-    bit = textkit.mix(low.astype(np.uint64) + (np.arange(_SAMPLES, dtype=np.uint64) << np.uint64(32)), 5) & np.uint64(SKETCH_BITS - 1)
-    flat = (np.arange(len(full))[:, None] * SKETCH_BITS + bit.astype(np.int64)).reshape(-1)
-    odd = np.bincount(flat, minlength=len(full) * SKETCH_BITS).reshape(len(full), SKETCH_BITS) & 1
-    sketch = np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+    low = min_hashes(sets, at, _SAMPLES)
+    sketch = odd_sketches(low, SKETCH_BITS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(full), BANDS)).copy()
     for r in range(ROWS):
         key = textkit.mix(key ^ low[:, r::ROWS].astype(np.uint64), r + 1)
     return k1.view(np.int64), k2.view(np.int64), sketch, key.view(np.int64)
 
 
-def largest_difference(per_cent: int = PER_CENT) -> int:
-    """Sketch bits that two sets at the threshold differ in at most, ``DEVIATIONS`` standard deviations out."""
+def largest_difference(per_cent: int = PER_CENT, samples: int = _SAMPLES, bits: int = SKETCH_BITS, deviations: float = DEVIATIONS) -> int:
+    """Sketch bits that two sets at the threshold differ in at most, ``deviations`` standard deviations out.
+
+    Samples that differ: 2 samples (1 - J) on average, binomial. Bits that differ: the parities of so many
+    balls thrown into ``bits`` bins.
+    """
     j = per_cent / 100
-    spread = 2 * np.sqrt(_SAMPLES * j * (1 - j))  # of the count of differing samples
-    far = 2 * _SAMPLES * (1 - j) + DEVIATIONS * spread
-    bits = SKETCH_BITS / 2 * (1 - np.exp(-2 * far / SKETCH_BITS))
-    return int(np.ceil(bits + DEVIATIONS / 2 * np.sqrt(bits * (1 - 2 * bits / SKETCH_BITS))))
+    far = 2 * samples * (1 - j)
+    keep = np.exp(-2 * far / bits)
+    mean = bits / 2 * (1 - keep)
+    of_samples = 2 * np.sqrt(samples * j * (1 - j)) * keep
+    of_bits = np.sqrt(max(0.0, bits / 4 * (1 - keep ** 2) - far * keep ** 2))
+    return int(np.ceil(mean + deviations * np.hypot(of_samples, of_bits)))
 
 
 def _list_array(rows: np.ndarray) -> pa.Array:
@@ -136,6 +157,19 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands"])
 
 
+def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both sketches of every text, for the comparison inside open buckets."""
+    for b in batches:
+        for c in textkit.chunks(b.column("text"), 1 << 18):
+            sets, off = shingle_sets(c)
+            full = np.flatnonzero(np.diff(off))
+            low = min_hashes(sets, off[:-1][full], WIDE_SAMPLES)
+            both = [odd_sketches(low[:, :_SAMPLES], SKETCH_BITS), odd_sketches(low, WIDE_BITS)]
+            ids = b.column("doc_id").slice(c.lo, c.hi - c.lo).take(pa.array(full))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(off)[full].astype(np.int64)), *[pa.array([r.tobytes() for r in x], pa.binary()) for x in both]],
+                                             names=["doc_id", "n_shingles", "sketch", "wide"])
+
+
 def _sets_of(col: pa.Array) -> list[np.ndarray]:
     out = []
     for c in textkit.chunks(col):
@@ -178,8 +212,8 @@ def _close(n_a, n_b, s_a, s_b):
 def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
     """Pairs across components between two sides of a bucket's block whose sizes and sketches are close."""
     out_a, out_b = [], []
-    limit = largest_difference()
-    sk = np.array(pdf["sketch"].tolist(), dtype=np.int64).reshape(len(pdf), -1).view(np.uint64)
+    limit, wide_limit = largest_difference(), largest_difference(PER_CENT, WIDE_SAMPLES, WIDE_BITS, WIDE_DEVIATIONS)
+    sk, wide = (np.frombuffer(b"".join(pdf[c]), dtype="<u8").reshape(len(pdf), -1) for c in ("sketch", "wide"))
     ids, comp, n = pdf["doc_id"].to_numpy(), pdf["component"].to_numpy(), pdf["n_shingles"].to_numpy()
     left, right = pdf["is_left"].to_numpy(), pdf["is_right"].to_numpy()
     r = np.flatnonzero(right)
@@ -187,6 +221,7 @@ def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         at = r[(comp[r] != comp[i]) & (100 * np.minimum(n[r], n[i]) >= PER_CENT * np.maximum(n[r], n[i]))]
         if len(at):
             at = at[np.bitwise_count(sk[at] ^ sk[i]).sum(axis=1) <= limit]
+            at = at[np.bitwise_count(wide[at] ^ wide[i]).sum(axis=1) <= wide_limit]
             out_a.append(np.minimum(ids[at], ids[i]))
             out_b.append(np.maximum(ids[at], ids[i]))
     a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
@@ -194,7 +229,7 @@ def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
 
-def _across(scratch: Scratch, buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame | None:
+def _across(scratch: Scratch, buckets: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Candidate pairs across components in buckets that hold several, or None if there are none."""
     of = labels.select(F.col("node").alias("doc_id"), "component")
     rows = scratch.table(buckets.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "bucket-components")
@@ -220,9 +255,14 @@ def _across(scratch: Scratch, buckets: DataFrame, labels: DataFrame, reps: DataF
     meets = F.when(F.col("is_main"), F.transform(rest, lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))) \
         .otherwise(F.transform(all_blocks, lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j"))))
     rows = rows.withColumn("m", F.explode(meets)).select("key", "doc_id", "component", "m.i", "m.j", "block")
-    rows = rows.join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-    rows = rows.select("key", "i", "j", "doc_id", "component", "n_shingles", "sketch",
+    rows = scratch.table(rows, "block-rows")
+    open_texts = texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    sketches = scratch.table(open_texts.mapInArrow(_wide_batches, "doc_id long, n_shingles long, sketch binary, wide binary"), "sketches")
+    rows = rows.join(sketches, "doc_id")
+    rows = rows.select("key", "i", "j", "doc_id", "component", "n_shingles", "sketch", "wide",
                        (F.col("block") == F.col("i")).alias("is_left"), (F.col("block") == F.col("j")).alias("is_right"))
+    # a number of its own: the rows are few but dear, and would be coalesced by their size
+    rows = rows.repartition(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
     return rows.groupBy("key", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct()
 
 
@@ -251,7 +291,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     near = star.join(ia, "a").join(ib, "b").filter(_close(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
     met, links = _confirmed(scratch, near, texts, "star")
     labels = component_labels(links, "a", "b")
-    more = _across(scratch, buckets.select("doc_id", "key"), labels, reps)
+    more = _across(scratch, buckets.select("doc_id", "key"), labels, texts)
     if more is not None:
         _, found = _confirmed(scratch, more.join(met, ["a", "b"], "left_anti"), texts, "across")
         labels = component_labels(links.unionByName(found), "a", "b")
