@@ -54,10 +54,9 @@ def _statistics(df: DataFrame) -> DataFrame:
     """Adds ``_w`` (lower-case word prefixes, distinct) and the statistics to a frame with ``_t`` (text)."""
     t = F.col("_t")
     count = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
-    df = df.withColumn("_split", F.split(F.lower(t), r"[^\p{L}]+"))
+    df = df.withColumn("_split", F.split(F.lower(t), r"[\x20\x09-\x0D]+"))
     df = df.withColumn("_tok", F.transform(F.filter("_split", lambda w: w != ""), lambda w: F.substring(w, 1, PREFIX)))
-    df = df.withColumn("_w", F.array_distinct("_tok")).withColumn("n_tokens", F.size(F.split(F.btrim(t), r"\s+")).cast("long"))
-    df = df.withColumn("n_tokens", F.when(F.btrim(t, F.lit(" \t\n\x0b\x0c\r")) == "", F.lit(0)).otherwise(F.col("n_tokens")))
+    df = df.withColumn("_w", F.array_distinct("_tok")).withColumn("n_tokens", F.size("_tok").cast("long"))
     n = F.greatest(F.col("n_tokens"), F.lit(1)).cast("double")
     chars = F.greatest(F.length(t), F.lit(1)).cast("double")
     stats = {"symbols": count("#*$%&|<>") / n, "marks": count("!") / n,
