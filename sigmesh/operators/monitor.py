@@ -84,11 +84,11 @@ def append_run(summary: DataFrame, path: str) -> None:
 
 
 def read_runs(spark, path: str) -> DataFrame:
-    """Run log, blank and corrupt lines skipped (A7); times parsed as UTC."""
+    """Run log, blank and corrupt lines skipped (A7); times moved to UTC by their offset."""
     df = (spark.read.schema(RUN_SCHEMA + ", _corrupt_record string")
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     df = df.filter(F.col("_corrupt_record").isNull() & F.col("ran_at").isNotNull()).drop("_corrupt_record")
-    return df.withColumn("ran_ts", F.to_timestamp(F.regexp_replace("ran_at", r"(Z|[+-]\d\d:\d\d)$", "")))
+    return df.withColumn("ran_ts", F.try_to_timestamp("ran_at"))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

@@ -79,8 +79,12 @@ def publish(df: DataFrame, base: str, version: str) -> str:
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
     df = spark.read.parquet(base)
-    latest = df.agg(F.max("v").alias("mv")).scalar() if "v" in df.columns else None
-    return df.filter(F.col("v") == latest).drop("v") if latest is not None else df
+    if "v" not in df.columns:
+        return df
+    # versions by number where they have one (v10 after v9), then by name
+    order = F.struct(F.regexp_extract(F.col("v").cast("string"), r"(\d+)", 1).try_cast("long").alias("n"), F.col("v").cast("string").alias("v"))
+    latest = df.agg(F.max(order).alias("top")).select("top.v").scalar()
+    return df.filter(F.col("v").cast("string") == latest).drop("v")
 
 
 def save_reports(reports: DataFrame, path: str) -> None:

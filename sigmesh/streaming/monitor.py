@@ -90,8 +90,11 @@ def run_updates(spark: SparkSession, agg: DataFrame, keys: list[str], value_cols
     base = _scratch(spark, name)
     out, ckpt = f"{base}/out", f"{base}/ckpt"
 
+    wrote: list[int] = []
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        wrote.append(batch_id)
 
     w = agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 hours")
@@ -99,10 +102,9 @@ def run_updates(spark: SparkSession, agg: DataFrame, keys: list[str], value_cols
     if not available_now:
         return q  # caller manages the running query
     q.awaitTermination()
-    try:
-        rows = spark.read.parquet(out)
-    except Exception:  # no micro-batch produced output
+    if not wrote:  # no micro-batch produced output
         return spark.createDataFrame([], agg.schema)
+    rows = spark.read.parquet(out)
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("v"))
     return latest.select(*keys, "v.*")
 
