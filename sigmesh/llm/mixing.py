@@ -53,18 +53,21 @@ BINS = {
 def _statistics(df: DataFrame) -> DataFrame:
     """Adds ``_w`` (lower-case word prefixes, distinct) and the statistics to a frame with ``_t`` (text)."""
     t = F.col("_t")
-    count = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
-    df = df.withColumn("_split", F.split(F.lower(t), r"[\x20\x09-\x0D]+"))
-    df = df.withColumn("_tok", F.transform(F.filter("_split", lambda w: w != ""), lambda w: F.substring(w, 1, PREFIX)))
+    count = lambda chars: F.length(F.regexp_replace(t, f"[^{chars}]+", ""))
+    word = r"[^\x20\x09-\x0D]"
+    df = df.withColumn("_tok", F.regexp_extract_all(F.lower(t), F.lit(f"({word}{{1,{PREFIX}}}){word}*"), 1))
     df = df.withColumn("_w", F.array_distinct("_tok")).withColumn("n_tokens", F.size("_tok").cast("long"))
-    n = F.greatest(F.col("n_tokens"), F.lit(1)).cast("double")
-    chars = F.greatest(F.length(t), F.lit(1)).cast("double")
-    stats = {"symbols": count("#*$%&|<>") / n, "marks": count("!") / n,
-             "capitals": count("ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÊÀÂÇÎÔÛÑÁÍÓÚ") / chars,
-             "distinct": F.size("_w") / F.greatest(F.size("_tok"), F.lit(1)), "word_length": chars / n}
+    # every value is a column of its own before the bins compare it several times
+    df = df.select("*", F.greatest(F.length(t), F.lit(1)).cast("double").alias("_chars"),
+                   F.greatest(F.col("n_tokens"), F.lit(1)).cast("double").alias("_n"), count("#*$%&|<>").alias("_symbols"),
+                   (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).alias("_marks"),
+                   count("A-ZÄÖÜÉÈÊÀÂÇÎÔÛÑÁÍÓÚ").alias("_capitals"))
+    stats = {"symbols": F.col("_symbols") / F.col("_n"), "marks": F.col("_marks") / F.col("_n"),
+             "capitals": F.col("_capitals") / F.col("_chars"),
+             "distinct": F.size("_w") / F.greatest(F.size("_tok"), F.lit(1)), "word_length": F.col("_chars") / F.col("_n")}
     for name, value in stats.items():
-        df = df.withColumn(f"_b_{name}", sum((F.when(value >= e, 1).otherwise(0) for e in BINS[name]), F.lit(0)))
-    return df.drop("_split", "_tok")
+        df = df.withColumn(f"_b_{name}", F.size(F.filter(_array(BINS[name]), lambda e, v=value: v >= e)))
+    return df.drop("_tok", "_chars", "_n", "_symbols", "_marks", "_capitals")
 
 
 def _array(values) -> F.Column:
@@ -106,10 +109,11 @@ class SoftDomains:
         return df.drop(*[f"_{c}{i}" for c in "ze" for i in k], *[f"_b_{n}" for n, _ in self.names()])
 
 
-def _markers(sample: DataFrame, domains: list[str], sizes: dict[str, int]) -> dict[str, list[str]]:
+def _markers(scratch: Scratch, sample: DataFrame, domains: list[str], sizes: dict[str, int]) -> dict[str, list[str]]:
     """Per domain, the word prefixes most over-represented in it among the sampled texts."""
     words = _statistics(sample).select("domain", F.explode("_w").alias("w"))
     per = words.groupBy("w").agg(*[F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{i}") for i, d in enumerate(domains)])
+    per = scratch.table(per.filter(F.greatest(F.lit(0), *[F.col(f"n{i}") for i in range(len(domains))]) >= MARKER_DOCS), "words")
     total = sum(sizes.values())
     out = {}
     for i, d in enumerate(domains):
@@ -134,7 +138,7 @@ def fit_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, rows:
     if not sizes:
         return None
     domains = sorted(sizes)
-    model = SoftDomains(domains, [math.log(sizes[d] / sum(sizes.values())) for d in domains], _markers(sample, domains, sizes), {})
+    model = SoftDomains(domains, [math.log(sizes[d] / sum(sizes.values())) for d in domains], _markers(scratch, sample, domains, sizes), {})
     binned, names = model.binned(scratch, sample, "domain"), model.names()
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(f"_b_{n}").alias("b")) for n, _ in names]))
     counts = {(r["domain"], r["f"], r["b"]): r["n"] for r in
@@ -152,8 +156,10 @@ def _rate(start: float, steps: list[tuple[float, float, list[float]]]):
     """The rate of a row's posterior after all steps (step size, part of the way taken, residuals)."""
     if not steps:
         return F.lit(float(start))
-    slopes = F.array(*[F.struct(F.lit(float(part)).alias("part"), (F.lit(float(a)) * _dot(e)).alias("down")) for a, part, e in steps])
-    return F.aggregate(slopes, F.lit(float(start)), lambda r, s: r + s["part"] * (F.greatest(F.lit(0.0), r - s["down"]) - r))
+    taken = F.array(*[F.struct(F.lit(float(part)).alias("part"), F.lit(float(a)).alias("size"),
+                               *[F.lit(float(x)).alias(f"e{k}") for k, x in enumerate(e)]) for a, part, e in steps])
+    down = lambda s: s["size"] * sum((F.col(f"p{k}") * s[f"e{k}"] for k in range(len(steps[0][2]))), F.lit(0.0))
+    return F.aggregate(taken, F.lit(float(start)), lambda r, s: r + s["part"] * (F.greatest(F.lit(0.0), r - down(s)) - r))
 
 
 def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None, rounds: int = ROUNDS):
