@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -50,6 +50,10 @@ BINS = {
 }
 
 
+def _bin(value: Column, edges) -> Column:
+    return F.size(F.filter(_array(edges), lambda edge: value >= edge))
+
+
 def _statistics(df: DataFrame) -> DataFrame:
     """Adds ``_w`` (lower-case word prefixes, distinct) and the statistics to a frame with ``_t`` (text)."""
     t = F.col("_t")
@@ -66,7 +70,7 @@ def _statistics(df: DataFrame) -> DataFrame:
              "capitals": F.col("_capitals") / F.col("_chars"),
              "distinct": F.size("_w") / F.greatest(F.size("_tok"), F.lit(1)), "word_length": F.col("_chars") / F.col("_n")}
     for name, value in stats.items():
-        df = df.withColumn(f"_b_{name}", F.size(F.filter(_array(BINS[name]), lambda e, v=value: v >= e)))
+        df = df.withColumn(f"_b_{name}", _bin(value, BINS[name]))
     return df.drop("_tok", "_chars", "_n", "_symbols", "_marks", "_capitals")
 
 
