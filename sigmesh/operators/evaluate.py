@@ -155,9 +155,12 @@ def fold_of(key: str, k: int, seed: int = 42) -> Column:
 
 
 def stratified_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42) -> DataFrame:
-    """Test when hash(key, seed) mod 100 < pct; hashing is per row, so the
-    share holds within each label."""
-    return df.withColumn("is_test", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < test_pct)
+    """Test when the first 32 bits of md5("seed:key"), mod 100, are below
+    pct; hashing is per row, so the share holds within each label.  A null
+    key counts as an empty one."""
+    mark = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    part = F.conv(F.substring(F.md5(mark.cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.withColumn("is_test", F.pmod(part, F.lit(100)) < test_pct)
 
 
 def cluster_eval(verdicts: DataFrame, truth: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ NODE_CUTS = {"registrar": 80, "hosting_org": 100, "shared_authors": 200, "explan
 
 def _last_write(df: DataFrame, keys: list[str], ts: str = "updated_at") -> DataFrame:
     cols = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("r"))
+    order = F.struct(F.col(ts), F.to_json(F.struct(*cols)))  # equal stamps: the larger row
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("r"))
               .select(*keys, "r.*"))
 
 

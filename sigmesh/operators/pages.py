@@ -181,10 +181,11 @@ def parse_pages(pages: DataFrame, token_classes: bool = True, max_chars: int | N
         lambda it: _parse_batch(it, token_classes, max_chars), schema)
 
 
-def outlinks_from_hrefs(parsed: DataFrame, k: int = 15) -> DataFrame:
+def outlinks_from_hrefs(parsed: DataFrame, k: int = 15, keep: tuple = ()) -> DataFrame:
     """Links to other sites (I8): absolute hrefs whose host is another parent
-    site, distinct in first-seen order, first ``k`` (F9, K10)."""
+    site, distinct in first-seen order, first ``k`` (F9, K10); ``keep`` are
+    columns carried along."""
     src = url_domain("url")
     hosts = F.transform(F.filter("hrefs", lambda h: F.startswith(h, F.lit("http"))), lambda h: url_domain(h))
     other = F.filter(hosts, lambda h: h.isNotNull() & (h != src) & (parent_domain(h) != parent_domain(src)))
-    return parsed.select("page_id", src.alias("domain"), F.slice(F.array_distinct(other), 1, k).alias("links"))
+    return parsed.select("page_id", src.alias("domain"), F.slice(F.array_distinct(other), 1, k).alias("links"), *keep)

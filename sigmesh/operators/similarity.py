@@ -39,9 +39,9 @@ from ..functions.text import is_syndicated, nav_phrase_flags
 from ..functions.vectors import unit
 from .skew import one_row_join, salted_join
 
-# Above this many vectors the exact all-pairs pass is replaced by the
-# linear-time average plus LSH candidates (``similarity_scores_auto``).
-EXACT_MAX_ROWS = 200_000
+# Rows of one block of the exact pass: a task multiplies two blocks, and every
+# vector is sent to (rows / BLOCK_ROWS) block pairs.
+BLOCK_ROWS = 2048
 
 BLOCK_OUT = ("kind string, domain_a string, domain_b string, raw double, eff double, "
              "n long, sum_eff double, max_eff double, n_over long")
@@ -90,7 +90,7 @@ def _block_task(sim_t: float, pair_w: float, mixed_w: float, pair_m: float, mixe
             n = valid.sum(axis=axis)
             contrib = np.where(valid, eff, 0.0)
             contrib = contrib if axis == 1 else contrib.T
-            s = np.array([math.fsum(r) for r in contrib])  # correctly rounded row sums
+            s = contrib.sum(axis=1)
             m = np.where(valid, eff, -np.inf).max(axis=axis)
             k = over.sum(axis=axis)
             part = pd.DataFrame({"kind": "part", "domain_a": dom.to_numpy(), "domain_b": None,
@@ -144,7 +144,7 @@ def block_products(prep: DataFrame, cfg: Settings, num_blocks: int, edge_floor:
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def blocks_for(n_rows: int, block_rows: int = 512) -> int:
+def blocks_for(n_rows: int, block_rows: int = BLOCK_ROWS) -> int:
     return max(1, math.ceil(n_rows / block_rows))
 
 
@@ -394,9 +394,10 @@ def similarity_scores_scalable(domains: DataFrame, prep: DataFrame, cfg: Setting
                     F.coalesce(F.col("k"), F.lit(0)).cast("int").alias("similar_domain_count"))
 
 
-def similarity_scores_auto(vecs: DataFrame, cfg: Settings, n_rows: int) -> DataFrame:
-    """Exact blocked pass up to ``EXACT_MAX_ROWS`` vectors, scalable path above."""
+def similarity_scores_of(vecs: DataFrame, cfg: Settings, n_rows: int, approximate: bool = False) -> DataFrame:
+    """D3 by the exact blocked pass at every size; ``approximate=True`` asks
+    for the linear average with LSH candidates instead."""
     prep = prepare_vectors(vecs, cfg)
-    if n_rows <= EXACT_MAX_ROWS:
-        return similarity_scores(vecs, block_products(prep, cfg, blocks_for(n_rows)), cfg)
-    return similarity_scores_scalable(vecs, prep, cfg)
+    if approximate:
+        return similarity_scores_scalable(vecs, prep, cfg)
+    return similarity_scores(vecs, block_products(prep, cfg, blocks_for(n_rows)), cfg)

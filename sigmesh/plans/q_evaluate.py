@@ -29,10 +29,8 @@ def eval_log(spark, sf_dir):
     d = (t.documents.select("doc_id", "text", "n_chars")
          .join(t.labels.select("doc_id", "quality"), "doc_id")
          .withColumn("h", F.md5(F.coalesce("text", F.lit("")))))
-    d = with_group_size(d, ["h"], "copies", ["doc_id"])
     ct = clean_text("text")
     sig = {
-        "signal_1_similarity": F.col("copies") > 1,
         "signal_2_cadence": F.col("n_chars") < 200,
         "signal_3_whois": ~F.coalesce((F.length(ct) >= 50) & (english_hits(ct) >= 3), F.lit(False)),
         "signal_4_hosting": F.coalesce(F.col("text").rlike(JUNK_RE), F.lit(False)),
@@ -40,8 +38,10 @@ def eval_log(spark, sf_dir):
         "signal_6_wayback": is_syndicated("text"),
         "signal_7_authors": F.coalesce(F.col("text").rlike(BYLINE_RE), F.lit(False)),
     }
-    log = d.select("doc_id", (1 - F.col("quality")).cast("int").alias("label"),
-                   *[c.cast("int").alias(k) for k, c in sig.items()])
+    d = d.select("doc_id", "h", (1 - F.col("quality")).cast("int").alias("label"),
+                 *[c.cast("int").alias(k) for k, c in sig.items()])
+    d = with_group_size(d, ["h"], "copies", ["doc_id"])  # texts stay behind: keys and flags move
+    log = d.withColumn("signal_1_similarity", (F.col("copies") > 1).cast("int")).select("doc_id", "label", *SIGNALS7)
     n = sum((F.col(s) for s in SIGNALS7[1:]), F.col(SIGNALS7[0]))
     log = log.withColumn("signals_triggered", n.cast("int"))
     log = log.withColumn("predicted_verdict", verdict_col("signals_triggered", "current"))
@@ -207,8 +207,9 @@ def q_evaluation_model_verdicts(spark, sf_dir):
 
 
 @register("evaluation_split", ops=("I5", "G7"), sql=LOG_SQL + """
-select label, (hash(doc_id) % 100) is not null as has_key, count(*) as n from log group by all
+select label, cast('0x' || substr(md5('42:' || cast(doc_id as varchar)), 1, 8) as bigint) % 100 < 20 as is_test,
+       count(*) as n from log group by all
 """)
 def q_evaluation_split(spark, sf_dir):
     log = stratified_split(eval_log(spark, sf_dir), "doc_id")
-    return log.groupBy("label", F.col("doc_id").isNotNull().alias("has_key")).agg(F.count(F.lit(1)).alias("n"))
+    return log.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))

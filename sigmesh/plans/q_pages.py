@@ -21,10 +21,10 @@ HREF_RE = r'href="([^"]*)"'
 def q_page_parse(spark, sf_dir):
     """Structural parse (stdlib parser in mapInPandas): lengths and link counts."""
     p = parse_pages(Tables(spark, sf_dir).pages, max_chars=None)  # whole texts
-    links = outlinks_from_hrefs(p)
-    return (p.select("page_id", F.length("text").alias("text_len"), F.length("body_text").alias("body_len"),
-                     F.size("hrefs").alias("hrefs"))
-            .join(links.select("page_id", F.size("links").alias("external_links")), "page_id"))
+    links = outlinks_from_hrefs(p, keep=(F.length("text").alias("text_len"), F.length("body_text").alias("body_len"),
+                                         F.size("hrefs").alias("n_hrefs")))
+    return links.select("page_id", "text_len", "body_len", F.col("n_hrefs").alias("hrefs"),
+                        F.size("links").alias("external_links"))
 
 
 def _article_sql() -> str:

@@ -11,7 +11,7 @@ from ..operators.cadence import cadence_features, cadence_rule_flag
 from ..operators.hosting import hosting_records_from_org, hosting_signal
 from ..operators.links import link_signal
 from ..operators.registration import registration_signal
-from ..operators.similarity import similarity_scores_auto
+from ..operators.similarity import similarity_scores_of
 from ..operators.verdict import (SIGNAL_OUT, assemble_features, cluster_summary, domain_view, feature_table,
                                  risk_copy, verdicts)
 from ..operators.skew import reuse
@@ -39,7 +39,7 @@ def build_features(spark, sf_dir):
     doms = reuse(M.analysed_domains(t))          # the base of seven joins
     regs = reuse(M.registration_records(t))      # registration signal and CDN gate
     vecs = reuse(M.vectors(t))
-    sim = similarity_scores_auto(vecs, SIM_CFG, t.embeddings.count())
+    sim = similarity_scores_of(vecs, SIM_CFG, t.embeddings.count())
     cad = cadence_rule_flag(cadence_features(M.publish_times(t))).select("domain", "burst_score", "cadence_flagged")
     reg = registration_signal(doms, regs, CFG).drop("created_date")
     host = hosting_signal(doms, hosting_records_from_org(M.hosting_records(t)), regs) \

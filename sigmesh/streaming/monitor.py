@@ -25,25 +25,35 @@ FEED_SCHEMA = ("source string, fetched_at timestamp, error string, subreddits ar
                "scanned_posts int, domain_count int, domains array<string>")
 
 
-def feed_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+def _reader(spark: SparkSession, schema, max_files: int | None):
+    r = spark.readStream.schema(schema)
+    return r if max_files is None else r.option("maxFilesPerTrigger", max_files)
+
+
+def feed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Feed documents as a stream of (source, fetched_at, domain)."""
-    s = (spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files)
-         .option("mode", "PERMISSIVE").json(path))
+    s = _reader(spark, FEED_SCHEMA, max_files).option("mode", "PERMISSIVE").json(path)
     return s.select("source", "fetched_at", F.explode_outer("domains").alias("domain")) \
             .filter(F.col("domain").isNotNull())
 
 
-def parquet_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Any parquet table as a stream (schema from the batch reader).
+
+    All files present form one micro-batch, so no row of theirs is late,
+    whatever the order of the files; ``max_files`` splits them into batches,
+    and then only rows within the watermark's delay count.
     Wall-clock timestamps (TIMESTAMP_NTZ) become event-time timestamps in
     the session zone (UTC), since watermarks need TIMESTAMP."""
     from pyspark.sql.types import TimestampNTZType
     schema = spark.read.parquet(path).schema
-    if os.path.isfile(path):  # a single-file table: stream its folder, filtered to the file
-        s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-             .option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path)))
+    reader = _reader(spark, schema, max_files)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # the path's own store tells what it is
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        # a single-file table: stream its folder, filtered to the file
+        s = reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
     else:
-        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+        s = reader.parquet(path)
     for f in schema.fields:
         if isinstance(f.dataType, TimestampNTZType):
             s = s.withColumn(f.name, F.col(f.name).cast("timestamp"))

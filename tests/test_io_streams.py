@@ -102,3 +102,18 @@ def test_checkpoint_dir_is_taken_from_the_session_and_never_local_on_a_cluster()
         ensure_checkpoint_dir(_Session(_Ctx("yarn")))
     # unset on a local master (tests): a local folder is made
     assert ensure_checkpoint_dir(_Session(_Ctx("local[2]"))).startswith("/tmp/")
+
+
+def test_stream_of_unordered_files_equals_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from sigmesh.streaming.monitor import cadence_stream, parquet_stream, run_updates, timeline
+    ev = spark.range(600).select(F.concat(F.lit("d"), F.col("id") % 7).alias("domain"),
+                                 F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 1800).alias("ts"))
+    path = str(tmp_path / "ev.parquet")
+    for part in (2, 0, 3, 1):  # the latest times come first
+        ev.filter(F.floor(F.unix_timestamp("ts") % 4000 / 1000) == part).orderBy(F.desc("ts")).coalesce(1).write.mode("append").parquet(path)
+    got = run_updates(spark, cadence_stream(parquet_stream(spark, path)), ["domain", "window_start"], ["pages"], "unordered")
+    want = ev.groupBy("domain", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("pages"))
+    assert {tuple(r) for r in got.collect()} == {(r.domain, r.w.start, r.pages) for r in want.collect()}
+    line = run_updates(spark, timeline(parquet_stream(spark, path)), ["window_start", "window_end"], ["events"], "unordered2")
+    assert sum(r.events for r in line.collect()) == 600

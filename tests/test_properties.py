@@ -155,3 +155,41 @@ def test_group_size_and_two_stage_top_k_equal_window_forms(spark):
     w = Window.partitionBy("k").orderBy(*order)
     ref = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
     assert sorted(top.select("k", "row", "rank").collect()) == sorted(ref.select("k", "row", "rank").collect())
+
+
+def test_page_parse_reads_each_page_once(spark):
+    from sigmesh.plans.q_pages import q_page_parse
+    plan = q_page_parse(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") + plan.count("MapInArrow") == 1
+    assert "Join" not in plan
+
+
+def test_eval_log_moves_no_texts(spark):
+    from sigmesh.plans.q_evaluate import eval_log
+    out = eval_log(spark, SF001)
+    assert "text" not in out.columns
+    for line in out._jdf.queryExecution().executedPlan().toString().splitlines():
+        if "Exchange hashpartitioning(h" in line:
+            assert "text" not in line
+
+
+def test_split_shares_within_labels(spark):
+    from sigmesh.operators.evaluate import stratified_split
+    rows = stratified_split(spark.range(20000).selectExpr("id as k", "id % 2 as label"), "k").groupBy("label", "is_test").count().collect()
+    for r in rows:
+        assert abs(r["count"] / 10000 - (0.2 if r.is_test else 0.8)) < 0.02
+
+
+def test_approximate_similarity_only_by_name(spark):
+    from sigmesh.operators.similarity import blocks_for, similarity_scores_of
+    v = M.vectors(Tables(spark, SF001))
+    few = similarity_scores_of(v, CFG, 10).orderBy("domain").collect()
+    many = similarity_scores_of(v, CFG, 10 ** 4).orderBy("domain").collect()
+    assert blocks_for(10) == 1 and blocks_for(10 ** 4) > 1
+    assert [tuple(r) for r in few] == [tuple(r) for r in many]
+
+
+def test_last_write_ties_are_decided(spark):
+    from sigmesh.operators.graph import _last_write
+    a = spark.createDataFrame([("x", 1, 5), ("x", 2, 5), ("x", 9, 4)], "domain string, v int, updated_at int")
+    assert [r.v for r in _last_write(a, ["domain"]).collect()] == [r.v for r in _last_write(a.orderBy("v"), ["domain"]).collect()] == [2]
