@@ -267,6 +267,33 @@ def test_mixing_meets_targets(spark, docs, none):
     assert mixing.mixture(spark, none, lab, {"good": 1.0}).count() == 0
 
 
+def test_rates_of_rare_domains(spark):
+    from sigmesh.llm import mixing
+    rng = np.random.default_rng(7)
+    goal = {"good": 0.9, "junk": 0.06, "toxic": 0.04}
+    for rare in (0.01, 0.001):
+        y = rng.choice(3, 8000, p=[0.9 - rare, 0.1, rare])
+        z = 8 * np.eye(3)[y] + rng.normal(size=(8000, 3))
+        p = np.exp(z) / np.exp(z).sum(1, keepdims=True)  # soft posteriors
+        data = [(int(n), *map(float, x)) for n, x in zip(rng.integers(1, 500, 8000), p)]
+        df = spark.createDataFrame(data, "n_tokens long, p0 double, p1 double, p2 double")
+        rate, totals = mixing.fit_rates(df, list(goal), goal)
+        got = df.withColumn("r", rate).toPandas()
+        n = got.n_tokens.sum()
+        for k, (d, share) in enumerate(goal.items()):
+            assert abs((got.n_tokens * got.r * got[f"p{k}"]).sum() / n / share - 1) < 1e-3 and abs(totals[d] / n / share - 1) < 1e-3
+        assert (got.r >= 0).all()
+    # no document holds enough of the target: the nearest rates, with a warning and what remains
+    flat = spark.createDataFrame([(10, 0.5, 0.4, 0.1), (30, 0.6, 0.3, 0.1)], df.schema)
+    with pytest.warns(UserWarning, match="targets not met"):
+        rate, totals = mixing.fit_rates(flat, list(goal), goal)
+    row = flat.select("p0", rate)
+    off = row.schema["rate"].metadata["off_target"]
+    assert set(off) == set(goal) and off["good"] < 0 < off["junk"] and abs(totals["good"] / 40 - 0.9 - off["good"]) < 1e-9
+    # nearest of all: only the second kind, at the rate of its projection
+    assert {r.p0: round(r.rate, 2) for r in row.collect()} == {0.5: 0.0, 0.6: round(0.562 / 0.46 / 0.75, 2)}
+
+
 def test_toxicity_held_out(spark, docs, none):
     from sigmesh.llm import toxicity
     rng = np.random.default_rng(4)
