@@ -16,7 +16,7 @@ from sigmesh.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from sigmesh.llm.common import Scratch
 from sigmesh.llm.queries import _tokenizer, domains_of
 
-#: Target weights of the mixture; clean documents keep a rate at or above the usual one.
+#: Target weights of the mixture, met by dropping alone: the domain that lacks most stays whole.
 WEIGHTS = {"good": 0.92, "junk": 0.08}
 
 

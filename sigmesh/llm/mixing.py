@@ -260,8 +260,9 @@ def _posteriors(spark: SparkSession, model: SoftDomains, texts: DataFrame) -> Da
 def thin(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
     """``docs`` thinned to the target weights; all columns stay.
 
-    The rates are scaled so that the median document is certain to stay (a
-    rate above it stays as surely); the others stay with their share of it.
+    The rates are scaled so that the largest rate of a document with tokens
+    is certain to stay and every other stays with its share of it, so the
+    tokens kept have the weights on average, whichever domain prevails.
     Rows of one doc_id stay or go together, by the largest of their rates.
     """
     model = fit_domains(spark, docs, labelled)
@@ -270,10 +271,10 @@ def thin(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dic
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_t"))
     rows = _posteriors(spark, model, texts)
     rate, _ = fit_rates(rows, model.domains, targets)
-    rows = rows.select("doc_id", rate)
-    usual = rows.agg(F.percentile_approx("rate", 0.5, 10000)).first()[0]
-    if not usual:
+    rows = rows.select("doc_id", "n_tokens", rate)
+    largest = rows.filter("n_tokens > 0").agg(F.max("rate")).first()[0]
+    if not largest:
         return docs
-    stays = uniform(F.coalesce("doc_id", F.lit(-1))) < F.col("rate") / F.lit(float(usual)) * (1 + 1e-6)
+    stays = uniform(F.coalesce("doc_id", F.lit(-1))) < F.col("rate") / F.lit(float(largest)) * (1 + 1e-6)
     kept = rows.filter(stays).select(F.col("doc_id").alias("_mx_id")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_mx_id"]), "left_semi")

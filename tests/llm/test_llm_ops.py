@@ -267,6 +267,24 @@ def test_mixing_meets_targets(spark, docs, none):
     assert mixing.mixture(spark, none, lab, {"good": 1.0}).count() == 0
 
 
+def test_thin_meets_weights_where_junk_prevails(spark):
+    from sigmesh.llm import mixing
+    rng = np.random.default_rng(9)
+    data, labels = [], []
+    for i in range(3000):
+        junk = i % 5 < 3
+        words = [("zz%%%" if junk else "plain") + str(rng.integers(0, 50)) for _ in range(int(rng.integers(20, 40)))]
+        data.append((i, " ".join(words), "c", 0, []))
+        labels.append((i, "junk" if junk else "good"))
+    lab = spark.createDataFrame(labels, "doc_id long, domain string")
+    kept = mixing.thin(spark, spark.createDataFrame(data, SCHEMA).repartition(3), lab, {"good": 0.92, "junk": 0.08}).collect()
+    size = Counter()
+    for r in kept:
+        size[r.doc_id % 5 < 3] += len(r.text.split())
+    assert abs(size[True] / (size[True] + size[False]) - 0.08) < 0.02
+    assert {i for i in range(3000) if i % 5 >= 3} <= {r.doc_id for r in kept}
+
+
 def test_rates_of_rare_domains(spark):
     from sigmesh.llm import mixing
     rng = np.random.default_rng(7)
