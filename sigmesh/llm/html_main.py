@@ -10,11 +10,12 @@ deletions.
 A light subtree (few words, or mostly links) is a template from
 ``LIGHT_PAGES`` pages of its host on. Running prose may stand on several
 pages by right (copies, quotations), so it needs a large share of the host's
-pages, and prose inside an ``article`` or ``main`` is never a template.
-A page too lonely on its host to show its template is cleaned by its own
-marks: elements whose tag, role or class says menu, header, footer, sidebar,
-notice, advert, form or comment are dropped, and where the page names its
-article, only that is text.
+pages, and any subtree inside an ``article`` or ``main`` a larger one.
+What the counts leave is cleaned by the page's own marks: elements whose tag,
+role or class says menu, header, footer, sidebar, notice, advert, form or
+comment are dropped (a menu of its own page never recurs). Where the page
+names its article, text beside it is dropped only on a host of under
+``INNER_PAGES`` pages, too few to show a template; on others the counts decide.
 
 Defined cases: null html is empty and gives the empty text; a null url is a
 host of its own name; repeated rows count as pages each; cut-off markup ends
@@ -94,10 +95,10 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
     return drop or bool(re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub(" ", attrs))), main
 
 
-def parse(page: str) -> tuple[list[str], list[bool], list[tuple[int, int, int, int]]]:
-    """Text blocks of a page, whether its own marks keep each, and subtrees as (hash, kind, first block, end block).
+def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, int, int, int]]]:
+    """Text blocks of a page, the mark of each, and subtrees as (hash, kind, first block, end block).
 
-    Kind 0 is light, 1 prose outside the article, 2 light inside it.
+    Mark 1 is dropped by the page's own marks, 2 beside its article. Kind 0 is light, 1 prose outside the article, 2 inside it.
     """
     blocks: list[str] = []
     words: list[int] = []
@@ -213,36 +214,33 @@ def parse(page: str) -> tuple[list[str], list[bool], list[tuple[int, int, int, i
     close(0)
 
     total = len(blocks)
-    kept = [True] * total
+    marks = [0] * total
     for a, b in dropped:
-        kept[a:b] = [False] * (b - a)
-    live = sum(w for w, k in zip(words, kept) if k)
+        marks[a:b] = [1] * (b - a)
+    live = sum(w for w, k in zip(words, marks) if not k)
     inside = [False] * total
     for names in (("article",), None):  # the articles if they hold enough of the text, else any main part
         chosen = [False] * total
         for tag, a, b in mains:
             if names is None or tag in names:
                 chosen[a:b] = [True] * (b - a)
-        held = sum(w for w, k, c in zip(words, kept, chosen) if k and c)
+        held = sum(w for w, k, c in zip(words, marks, chosen) if not k and c)
         if held and 5 * held >= live:
             inside = chosen
-            kept = [k and c for k, c in zip(kept, chosen)]
+            marks = [k or (0 if c else 2) for k, c in zip(marks, chosen)]
             break
     hashes = [xxhash.xxh3_64_digest(b) for b in blocks]
     out = []
     for tag, a, b in trees:
         count, links = sum(words[a:b]), sum(linked[a:b])
         light = (count < LIGHT_WORDS and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "td", "dd")) or 2 * links > count
-        core = inside[a]
-        if core and not light:
-            continue
         h = xxhash.xxh3_64_intdigest(tag.encode() + b"".join(hashes[a:b]))
-        out.append((h - (1 << 64) if h >> 63 else h, 2 if core else 0 if light else 1, a, b))
-    return blocks, kept, out
+        out.append((h - (1 << 64) if h >> 63 else h, 2 if inside[a] else 0 if light else 1, a, b))
+    return blocks, marks, out
 
 
 _TREES = pa.list_(pa.struct([("hash", pa.int64()), ("kind", pa.int32()), ("first", pa.int32()), ("end", pa.int32())]))
-_SCHEMA = ("row long, page_id long, url string, host string, blocks array<string>, kept array<boolean>, "
+_SCHEMA = ("row long, page_id long, url string, host string, blocks array<string>, marks array<int>, "
            "trees array<struct<hash:long,kind:int,first:int,end:int>>")
 
 
@@ -258,14 +256,14 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             hosts = [(m[1].lower() if (m := host.match(u or "")) else u or "") for u in urls]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(row, row + b.num_rows), pa.int64()), b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()),
-                 pa.array([p[0] for p in parsed], pa.list_(pa.string())), pa.array([p[1] for p in parsed], pa.list_(pa.bool_())),
+                 pa.array([p[0] for p in parsed], pa.list_(pa.string())), pa.array([p[1] for p in parsed], pa.list_(pa.int32())),
                  pa.array([[dict(zip(("hash", "kind", "first", "end"), t)) for t in p[2]] for p in parsed], _TREES)],
-                names=["row", "page_id", "url", "host", "blocks", "kept", "trees"])
+                names=["row", "page_id", "url", "host", "blocks", "marks", "trees"])
             row += b.num_rows
 
 
-def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text."""
+def judged(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """One row per page: page_id, url, blocks, marks, the recurring ranges (gone), and whether text beside the article counts (open)."""
     scratch = Scratch(spark, "html")
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.col("html").cast("string").alias("html"))
@@ -274,14 +272,37 @@ def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     # pages of a host with a subtree, and pages of a host
     seen = (trees.groupBy("host", "hash", "row").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
             .filter(F.col("pages") >= LIGHT_PAGES))
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    hosts = scratch.table(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "hosts")
     many = scratch.table(seen.join(hosts, "host"), "recurring")
     hit = salted_left_join(trees, many, ["host", "hash"], "row").filter(F.col("pages").isNotNull())
     need = (F.when(F.col("kind") == 0, F.lit(float(LIGHT_PAGES)))
             .when(F.col("kind") == 1, F.greatest(F.lit(float(PROSE_PAGES)), F.col("host_pages") * PROSE_SHARE))
             .otherwise(F.greatest(F.lit(float(INNER_PAGES)), F.col("host_pages") * INNER_SHARE)))
-    gone = hit.filter(F.col("pages") >= need).groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("gone"))
-    rows = parsed.select("row", "page_id", "url", "blocks", "kept").join(gone, "row", "left")
-    stays = F.filter("blocks", lambda b, i: F.element_at("kept", i + 1)
-                     & ~F.coalesce(F.exists("gone", lambda g: (g["first"] <= i) & (g["end"] > i)), F.lit(False)))
-    return rows.select("page_id", "url", F.array_join(stays, "\n").alias("text"))
+    gone = hit.filter(F.col("pages") >= need).select("row", F.struct("first", "end").alias("range"), F.lit(False).alias("open"))
+    beside = parsed.filter(F.array_contains("marks", 2)).select("row", "host")
+    beside = salted_left_join(beside, hosts.filter(F.col("host_pages") >= INNER_PAGES), ["host"], "row").filter(F.col("host_pages").isNotNull())
+    known = gone.unionByName(beside.select("row", F.lit(None).cast("struct<first:int,end:int>").alias("range"), F.lit(True).alias("open")))
+    known = known.groupBy("row").agg(F.collect_list("range").alias("gone"), F.max("open").alias("open"))
+    return parsed.select("row", "page_id", "url", "blocks", "marks").join(known, "row", "left").drop("row")
+
+
+def _recurs(i):
+    return F.coalesce(F.exists("gone", lambda g: (g["first"] <= i) & (g["end"] > i)), F.lit(False))
+
+
+def _marked(i):
+    mark = F.element_at("marks", i + 1)
+    return (mark == 1) | (mark == 2) & ~F.coalesce("open", F.lit(False))
+
+
+def main_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """One row per page: page_id, url, text."""
+    stays = F.filter("blocks", lambda b, i: ~_recurs(i) & ~_marked(i))
+    return judged(spark, pages).select("page_id", "url", F.array_join(stays, "\n").alias("text"))
+
+
+def removals(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """One row: the blocks of all pages, and how many go by recurrence alone, by marks alone, and by both."""
+    n = lambda test: F.sum(F.size(F.filter("blocks", lambda b, i: test(i))))
+    return judged(spark, pages).agg(F.sum(F.size("blocks")).alias("blocks"), n(lambda i: _recurs(i) & ~_marked(i)).alias("recurring"),
+                                    n(lambda i: _marked(i) & ~_recurs(i)).alias("marked"), n(lambda i: _marked(i) & _recurs(i)).alias("both"))

@@ -231,6 +231,19 @@ def test_main_text(spark):
     assert html_main.main_text(spark, df.limit(0)).count() == 0
 
 
+def test_templates_inside_and_beside_articles(spark):
+    from sigmesh.llm import html_main
+    page = ("<body><nav><a href=/>Home {0}</a></nav><h2>Headline {0} stands beside</h2><div>Site banner</div>"
+            "<article><p>Story {0} has words of its own.</p><p>Buy our paper, said on every page.</p></article></body>")
+    data = [(k, f"http://many.example/{k}", page.format(k)) for k in range(12)] + [(99, "http://one.example/", page.format(99))]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_main.main_text(spark, df).collect()}
+    assert got == {k: f"Headline {k} stands beside\nStory {k} has words of its own." for k in range(12)} | {
+        99: "Story 99 has words of its own.\nBuy our paper, said on every page."}
+    # 5 blocks a page: banner and notice recur on the 12, menus are marked; on the lonely page all but the article is
+    assert html_main.removals(spark, df).first().asDict() == {"blocks": 65, "recurring": 24, "marked": 15, "both": 0}
+
+
 def test_license_matches(spark, docs, none):
     from sigmesh.llm import license_scan
     mit = license_scan.TEMPLATES[1][1].split()
