@@ -18,8 +18,9 @@ names its article, text beside it is dropped only on a host of under
 ``INNER_PAGES`` pages, too few to show a template; on others the counts decide.
 
 Defined cases: null html is empty and gives the empty text; a null url is a
-host of its own name; repeated rows count as pages each; cut-off markup ends
-where the text ends; an empty table gives no rows. Other columns are not read.
+host of its own name; pages of a host with the same text (their marked parts
+aside) count as one, but each is cleaned; cut-off markup ends where the text
+ends; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -240,10 +241,18 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, int, int, in
 
 
 _TREES = pa.list_(pa.struct([("hash", pa.int64()), ("kind", pa.int32()), ("first", pa.int32()), ("end", pa.int32())]))
-_SCHEMA = ("row long, page_id long, url string, host string, blocks array<string>, marks array<int>, "
+_SCHEMA = ("row long, page_id long, url string, host string, content long, blocks array<string>, marks array<int>, "
            "trees array<struct<hash:long,kind:int,first:int,end:int>>")
 
 
+def _content(blocks: list[str], marks: list[int]) -> int:
+    """A hash of the text of a page without its marked parts, or of all where nothing is left."""
+    h = xxhash.xxh3_64()
+    for b in [b for b, m in zip(blocks, marks) if not m] or blocks:
+        h.update(xxhash.xxh3_64_digest(b))
+    return h.intdigest() - (1 << 63)
+
+
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     row = TaskContext.get().partitionId() << 33
@@ -256,9 +265,10 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             hosts = [(m[1].lower() if (m := host.match(u or "")) else u or "") for u in urls]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(row, row + b.num_rows), pa.int64()), b.column("page_id"), b.column("url"), pa.array(hosts, pa.string()),
+                 pa.array([_content(*p[:2]) for p in parsed], pa.int64()),
                  pa.array([p[0] for p in parsed], pa.list_(pa.string())), pa.array([p[1] for p in parsed], pa.list_(pa.int32())),
                  pa.array([[dict(zip(("hash", "kind", "first", "end"), t)) for t in p[2]] for p in parsed], _TREES)],
-                names=["row", "page_id", "url", "host", "blocks", "marks", "trees"])
+                names=["row", "page_id", "url", "host", "content", "blocks", "marks", "trees"])
             row += b.num_rows
 
 
@@ -268,11 +278,11 @@ def judged(spark: SparkSession, pages: DataFrame) -> DataFrame:
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.col("html").cast("string").alias("html"))
     parsed = scratch.table(p.mapInArrow(_parse_batches, _SCHEMA), "parsed")
-    trees = parsed.select("row", "host", F.explode("trees").alias("t")).select("row", "host", "t.*")
-    # pages of a host with a subtree, and pages of a host
-    seen = (trees.groupBy("host", "hash", "row").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
+    trees = parsed.select("row", "host", "content", F.explode("trees").alias("t")).select("row", "host", "content", "t.*")
+    # pages of a host with a subtree, and pages of a host, each text once
+    seen = (trees.groupBy("host", "hash", "content").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
             .filter(F.col("pages") >= LIGHT_PAGES))
-    hosts = scratch.table(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "hosts")
+    hosts = scratch.table(parsed.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "hosts")
     many = scratch.table(seen.join(hosts, "host"), "recurring")
     hit = salted_left_join(trees, many, ["host", "hash"], "row").filter(F.col("pages").isNotNull())
     need = (F.when(F.col("kind") == 0, F.lit(float(LIGHT_PAGES)))

@@ -244,6 +244,17 @@ def test_templates_inside_and_beside_articles(spark):
     assert html_main.removals(spark, df).first().asDict() == {"blocks": 65, "recurring": 24, "marked": 15, "both": 0}
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    from sigmesh.llm import html_main
+    page = "<body><div>Few words {0}</div><ul><li>one {0}</li><li>two</li></ul><p>A paragraph of page {0}.</p></body>"
+    data = [(k, "http://copies.example/", page.format(min(k, 9))) for k in range(9, 15)]
+    data += [(k, "http://copies.example/", page.format(k)) for k in range(2)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    for r in html_main.main_text(spark, df).collect():
+        k = min(r.page_id, 9)
+        assert r.text == f"Few words {k}\none {k}\ntwo\nA paragraph of page {k}."
+
+
 def test_license_matches(spark, docs, none):
     from sigmesh.llm import license_scan
     mit = license_scan.TEMPLATES[1][1].split()
