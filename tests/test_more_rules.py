@@ -104,3 +104,11 @@ def test_bylines_three_patterns_in_order_noise_dropped_distinct(spark):
     # first place
     assert got[0].b == ["John Smith", "Al Li", "Jane Doe"]
     assert got[1].b == []
+
+
+def test_forest_samples_by_one_rule_at_every_size(spark):
+    from sigmesh.operators.models import fit_isolation_forest
+    for n, want in ((100, 100), (3000, 256), (30000, 256)):
+        df = spark.range(n).select(F.concat(F.lit("d"), "id").alias("domain"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+        leaves = fit_isolation_forest(df, ["a", "b"], trees=100, sample=256).query("feat < 0")
+        assert set(leaves.groupby("tree_id")["size"].sum()) == {want} and leaves["tree_id"].nunique() == 100
