@@ -133,6 +133,24 @@ class Templates:
         a, b = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
         return [(int(i), int(o)) for i in np.flatnonzero(b > a) for o in owners[a[i]:b[i]]]
 
+    @classmethod
+    def _stretches(cls, h: np.ndarray, want: np.ndarray, reach: int, lo: int, hi: int) -> list[tuple[int, int, int]]:
+        """(shingles of ``want``, first, last) of the best stretch in a range of shingles, and of those before it.
+
+        Of the stretches that hold as many, the shortest, then the first; what follows it is left to later windows.
+        """
+        hit = np.flatnonzero(np.isin(h[lo:hi], want)) + lo if hi > lo else np.zeros(0, np.int64)
+        best = (0, 0, 0)
+        for i, a in enumerate(hit):
+            inside = hit[i:np.searchsorted(hit, a + reach)]
+            new = np.unique(h[inside], return_index=True)[1]
+            n, last = len(new), int(inside[new.max()])
+            if n > best[0] or n == best[0] and last - a < best[2] - best[1]:
+                best = (n, int(a), last)
+        if not best[0] or best[0] < CONTAINED * len(want):
+            return []
+        return [*cls._stretches(h, want, reach, lo, best[1] - SHINGLE + 1), best]
+
     def matches(self, h: np.ndarray, begin: np.ndarray) -> list[tuple[int, int, int, int, float]]:
         """(text, template, first word, end word, containment) of all verified places, for the texts of a chunk."""
         found: dict[tuple[int, int], list[int]] = {}
@@ -155,16 +173,9 @@ class Templates:
                 if w <= done:
                     continue
                 lo, hi = max(begin[d], w - reach), min(begin[d + 1], w + reach + WINDOW)
-                hit = np.flatnonzero(np.isin(h[lo:hi], want)) + lo
-                best = (0, 0, 0)
-                for i, a in enumerate(hit):
-                    inside = hit[i:np.searchsorted(hit, a + reach)]
-                    n = len(np.unique(h[inside]))
-                    if n > best[0]:
-                        best = (n, int(a), int(inside[-1]))
-                if best[0] and best[0] >= CONTAINED * len(want) and best[2] > done:
-                    done = best[2]
-                    out.append((d, t, best[1] - int(begin[d]), best[2] - int(begin[d]) + SHINGLE, best[0] / len(want)))
+                for n, first, last in self._stretches(h, want, reach, max(lo, done + SHINGLE) if done >= 0 else lo, hi):
+                    done = last
+                    out.append((d, t, first - int(begin[d]), last - int(begin[d]) + SHINGLE, n / len(want)))
         # of templates that overlap, the one that is contained best stays, then the longest
         kept: dict[int, list[tuple[int, int, int, int, float]]] = {}
         for m in sorted(out, key=lambda m: (m[0], -m[4], -len(self.sets[m[1]]), m[1], m[2])):

@@ -266,6 +266,22 @@ def test_license_matches(spark, docs, none):
     assert license_scan.license_matches(spark, none).count() == 0
 
 
+def test_license_copies_close_together():
+    import pyarrow as pa
+    from sigmesh.llm import license_scan, textkit
+    words = [f"t{i}" for i in range(80)]
+    templates = license_scan.Templates((("X", " ".join(words)),))
+    changed = words[:40] + ["other"] + words[41:]
+    for gap in (0, 5, 10, 20, 60):
+        for copies in ((words, words), (changed, words), (words, words, words)):
+            text, want = ["lead"] * 7, []
+            for c in copies:
+                want.append((len(text), len(text) + 80))
+                text = text + c + [f"g{len(text)}x{i}" for i in range(gap)]
+            h, begin, _ = license_scan.shingles(next(textkit.chunks(pa.array([" ".join(text)]))))
+            assert [m[2:4] for m in templates.matches(h, begin)] == want
+
+
 def test_mixing_meets_targets(spark, docs, none):
     from pyspark.sql import functions as F
     from sigmesh.llm import mixing
