@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_main, huffman, license_scan, line_dedup, mixing, near_dedup, packing, quality, toxicity
+from . import (centroids, exact_dedup, html_main, huffman, license_scan, line_dedup, mixing, multiset, near_dedup, packing, quality, spelling,
+               toxicity)
 
 
 def _tokenizer(name: str) -> str:
@@ -75,8 +76,26 @@ def op10_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = multiset.edited(spark, _table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+                       multiset.as_text(F.col("vector")).alias("fingerprint"),
+                       multiset.as_text(F.col("edited_vector")).alias("edited_fingerprint"),
+                       multiset.likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
+                       multiset.likeness(F.col("vector"), F.col("next_vector")).alias("near_next"))
+
+
+def op12_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, _table(spark, sf_dir, "documents"))
+
+
+def op13_hilbert_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark, _table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_huffman_tokens, op2_soft_mixing, op3_template_removal, op4_tournament_packing, op5_odd_sketch_dedup,
-                                   op6_rule_ledger, op7_block_naming, op8_line_dedup, op9_license_scan, op10_cnn_toxicity)}
+                                   op6_rule_ledger, op7_block_naming, op8_line_dedup, op9_license_scan, op10_cnn_toxicity,
+                                   op11_multiset_hash, op12_spelling_tiles, op13_hilbert_centroids)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE_CHARS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
