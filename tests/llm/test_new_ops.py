@@ -184,7 +184,7 @@ def test_centroids(spark):
              (6006, [float("inf")] + [0.0] * 63), (6007, [0.0] * 64), (6008, [-0.001] * 64)]
     df = spark.createDataFrame([(i, e, 1, "x", 2) for i, e in rows], "vec_id long, embedding array<double>, label int, cluster string, distance int").repartition(5)
     work = []
-    got = Counter(tuple(r) for r in centroids.clusters(spark, df, work=work).select(
+    got = Counter(tuple(r) for r in centroids.clusters(spark, df, block=16, work=work).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256").collect())
     assert got == brute_clusters(rows)
     assert len(work) == 5 and all(w["compared"] < 0.5 * w["all"] for w in work)  # boxes leave few candidates where vectors form groups
