@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .order import with_running
 from .skew import one_row_join
 
 SIGNALS7 = ("signal_1_similarity", "signal_2_cadence", "signal_3_whois", "signal_4_hosting",
@@ -105,16 +106,15 @@ def best_threshold(sweep: DataFrame, default: float = 0.5) -> DataFrame:
 
 
 def roc_points(log: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
-    """ROC points: group by distinct score first, then cumulative sums in
-    descending score order (D24).  Scores are rounded to 4 places upstream,
-    so the ordered table has at most 10,001 rows whatever the log size."""
+    """ROC points (D24): distinct scores from the highest down with counts and
+    running totals of both classes, and the totals P and N.  Running totals
+    come from range partitions and prefix offsets, so any number of distinct
+    scores is fine."""
     g = log.groupBy(score).agg(F.sum((F.col(y) == 1).cast("long")).alias("pos"),
                                F.sum((F.col(y) == 0).cast("long")).alias("neg"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(F.lit(1))
-    return g.select(score, "pos", "neg",
-                    F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"),
-                    F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
+    r = with_running(g, [F.desc(score)], {"cum_pos": "pos", "cum_neg": "neg"}, "_place").drop("_place")
+    total = r.agg(F.max("cum_pos").alias("P"), F.max("cum_neg").alias("N"))
+    return one_row_join(r, total)
 
 
 def auc(log: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
@@ -163,6 +163,15 @@ def stratified_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42
     return df.withColumn("is_test", F.pmod(part, F.lit(100)) < test_pct)
 
 
+def evaluation_source(log: DataFrame) -> DataFrame:
+    """D27: 'log' where at least three distinct signals fire in it and some rows
+    are predicted positive, else 'features'; with both numbers."""
+    firing = sum(((F.sum(s) > 0).cast("int") for s in SIGNALS7[1:]), (F.sum(SIGNALS7[0]) > 0).cast("int"))
+    a = log.agg(firing.alias("signals_firing"), F.sum("predicted_label").cast("long").alias("positives"))
+    return a.select(F.when((F.col("signals_firing") >= 3) & (F.col("positives") > 0), "log").otherwise("features").alias("source"),
+                    "signals_firing", "positives")
+
+
 def cluster_eval(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
     """Flagged rate and mean signals for the two label groups, then the
     confusion counts."""

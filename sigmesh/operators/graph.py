@@ -78,16 +78,22 @@ def graph_stats(nodes: DataFrame, edges: DataFrame, verdict: str = "verdict") ->
 
 
 def neighborhood(edges: DataFrame, nodes: DataFrame, focus: DataFrame, limit: int = 50) -> DataFrame:
-    """1-hop undirected neighbourhood of each focus domain (C16): optional
-    match, null similarity reported as 0, at most ``limit`` per focus."""
-    u = undirected(edges, ["similarity"])
-    j = focus.select(F.col("domain").alias("src")).join(u, "src", "left")
-    j = j.join(nodes.select(F.col("domain").alias("dst"), F.col("verdict").alias("dst_verdict")), "dst", "left")
-    j = j.withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
-    ranked = top_k_per_key(j.filter(F.col("dst").isNotNull()), "src",
-                           [F.desc("similarity"), F.asc("dst")], limit, ["dst"])
-    return ranked.select(F.col("src").alias("domain"), F.col("dst").alias("neighbor"), "similarity",
-                         "dst_verdict", "rank")
+    """1-hop neighbourhood over SIMILAR_TO edges of each focus domain (C16, F5):
+    an optional match, so a domain without neighbours keeps one row of nulls;
+    similarity to 4 decimals, 0 where it is missing; missing verdicts count as
+    ORGANIC and missing signals as 0; at most ``limit`` neighbours per focus.
+    nodes: domain, verdict, signals, excerpt."""
+    u = undirected(edges.filter("kind = 'SIMILAR_TO'"), ["similarity"])
+    seeds = focus.select(F.col("domain").alias("src")).join(nodes.select(F.col("domain").alias("src")), "src", "left_semi").distinct()
+    j = u.join(seeds, "src", "left_semi").withColumn("similarity", F.round(F.coalesce("similarity", F.lit(0.0)), 4))
+    ranked = top_k_per_key(j, "src", [F.desc("similarity"), F.asc("dst")], limit, ["dst"])
+    of = nodes.select(F.col("domain").alias("dst"), F.coalesce("verdict", F.lit("ORGANIC")).alias("neighbor_verdict"),
+                      F.coalesce("signals", F.lit(0)).cast("int").alias("neighbor_signals"), F.col("excerpt").alias("neighbor_excerpt"))
+    near = ranked.join(of, "dst")
+    alone = seeds.join(near.select("src"), "src", "left_anti")
+    return (near.unionByName(alone, allowMissingColumns=True)
+            .select(F.col("src").alias("domain"), F.col("dst").alias("neighbor"), "similarity", "neighbor_verdict", "neighbor_signals",
+                    "neighbor_excerpt", F.col("rank").cast("int").alias("rank")))
 
 
 def domain_cards(nodes: DataFrame, edges: DataFrame, k: int = 8) -> DataFrame:

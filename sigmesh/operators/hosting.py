@@ -88,8 +88,8 @@ def hosting_signal(domains: DataFrame, hosting: DataFrame,
 
 def host_memberships(scored: DataFrame) -> DataFrame:
     """Hosting edges as group memberships (domain, edge_type, group_key) for
-    flagged domains; SAME_IP takes precedence over SAME_ASN (C10) because a
-    domain is listed under SAME_ASN only for groups it does not share by IP."""
+    flagged domains. A domain may stand in a group of each kind; where pairs are
+    counted, SAME_IP takes precedence (``host_pair_counts``)."""
     cdn = F.col("is_cdn")
     ip_key = F.when(cdn, F.col("k_ip_gate")).otherwise(F.col("k_ip"))
     asn_key = F.when(cdn, F.col("k_asn_gate")).otherwise(F.col("k_asn"))
@@ -103,6 +103,15 @@ def host_memberships(scored: DataFrame) -> DataFrame:
 
 
 def host_pair_counts(memberships: DataFrame) -> DataFrame:
-    """Number of undirected pairs each group implies: n·(n−1)/2."""
-    return (memberships.groupBy("edge_type", "group_key").agg(F.count(F.lit(1)).alias("n"))
-            .select("edge_type", "group_key", "n", (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("pairs")))
+    """Number of undirected pairs each group implies: n·(n−1)/2. A pair that
+    shares both an address and a network counts as SAME_IP alone (C10): what
+    the address groups inside a network hold is taken from its pairs."""
+    def pairs(n):
+        return (F.col(n) * (F.col(n) - 1) / 2).cast("long")
+    groups = memberships.groupBy("edge_type", "group_key").agg(F.count(F.lit(1)).alias("n"))
+    by_domain = memberships.groupBy("domain").agg(*[F.max(F.when(F.col("edge_type") == k, F.col("group_key"))).alias(c)
+                                                    for k, c in (("SAME_IP", "ip"), ("SAME_ASN", "asn"))])
+    inside = (by_domain.filter("ip IS NOT NULL AND asn IS NOT NULL").groupBy("asn", "ip").agg(F.count(F.lit(1)).alias("k"))
+              .groupBy(F.col("asn").alias("group_key")).agg(F.sum(pairs("k")).alias("taken")).withColumn("edge_type", F.lit("SAME_ASN")))
+    return (groups.join(inside, ["edge_type", "group_key"], "left")
+            .select("edge_type", "group_key", "n", (pairs("n") - F.coalesce("taken", F.lit(0))).alias("pairs")))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.domains import has_suspicious_tld, hyphen_count
+from .order import with_rank
 
 RUN_SCHEMA = ("ran_at string, whoisds_count int, reddit_count int, queued_unique int, batches int, "
               "results int, synthetic_batches int")
@@ -98,19 +99,22 @@ def latest_run(runs: DataFrame) -> DataFrame:
                        "r.*")
 
 
+def _run_rate() -> Column:
+    return F.when(F.col("batches") > 0, F.col("synthetic_batches") / F.col("batches")).otherwise(F.lit(0.0))
+
+
 def run_timeline(runs: DataFrame) -> DataFrame:
-    """"Run i" labels by time, synthetic rate and chip per run (E3, B25); runs
-    are one line per cycle, so the global order is over a small table."""
-    rate = F.when(F.col("batches") > 0, F.col("synthetic_batches") / F.col("batches")).otherwise(F.lit(0.0))
-    return (runs.withColumn("run", F.concat(F.lit("Run "), F.row_number().over(Window.orderBy("ran_ts")).cast("string")))
-                .withColumn("synthetic_rate", F.round(rate, 4))
-                .withColumn("chip", run_chip(rate)).withColumn("threat", threat_level(rate)))
+    """"Run i" labels by time, synthetic rate and chip per run (E3, B25);
+    numbers come from range partitions and prefix offsets, not from one task."""
+    rate = _run_rate()
+    return (with_rank(runs, ["ran_ts"], "_place").withColumn("run", F.concat(F.lit("Run "), (F.col("_place") + 1).cast("string")))
+            .withColumn("synthetic_rate", F.round(rate, 4))
+            .withColumn("chip", run_chip(rate)).withColumn("threat", threat_level(rate)).drop("_place"))
 
 
 def rate_trend(runs: DataFrame) -> DataFrame:
     """Change of the synthetic rate from first to last run."""
-    t = run_timeline(runs)
-    a = t.agg(F.min_by("synthetic_rate", "ran_ts").alias("first_rate"),
+    a = runs.withColumn("synthetic_rate", F.round(_run_rate(), 4)).agg(F.min_by("synthetic_rate", "ran_ts").alias("first_rate"),
               F.max_by("synthetic_rate", "ran_ts").alias("last_rate"), F.count(F.lit(1)).alias("runs"))
     d = F.col("last_rate") - F.col("first_rate")
     return a.select("*", F.round(d, 4).alias("change"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.domains import author_norm, is_authority, not_noise
+from ..functions.domains import author_norm, is_authority
 from ..functions.text import is_syndicated, nav_phrase_flags
 from ..functions.vectors import unit
 from .skew import one_row_join, salted_join
@@ -290,34 +290,6 @@ def lsh_pairs(prep: DataFrame, threshold: float, bucket_length: float = 1.0, tab
     return pairs.filter(F.col("raw") >= threshold).distinct()
 
 
-def seed_vs_corpus(seeds: DataFrame, corpus: DataFrame, cfg: Settings, buckets: int = 16) -> DataFrame:
-    """One-to-many comparison (C5): each seed against every other corpus
-    domain except noise sites; raw-score flag (K4).
-
-    The product is formed as an equi-join on a hash bucket: corpus rows get
-    one of ``buckets`` ids, seed rows are replicated to every id, so the plan
-    is a hash join (never a cartesian one) and no task holds the corpus."""
-    s = seeds.select(F.col("domain").alias("seed"), F.col("u").alias("su"),
-                     is_authority("domain").alias("s_auth"))
-    c = corpus.filter(not_noise("domain")).select("domain", "u", is_authority("domain").alias("c_auth"))
-    j = (c.withColumn("__k", F.pmod(F.xxhash64("domain"), F.lit(buckets)))
-         .join(s.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))), "__k"))
-    j = j.drop("__k").filter(F.col("domain") != F.col("seed"))
-    raw = F.aggregate(F.zip_with("u", "su", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    both = F.col("s_auth") & F.col("c_auth")
-    one = F.col("s_auth") | F.col("c_auth")
-    eff = F.when(both, raw * cfg.authority_pair_weight).when(one, raw * cfg.authority_mixed_weight).otherwise(raw)
-    thr = F.when(both, cfg.sim_threshold * cfg.authority_pair_mult) \
-           .when(one, cfg.sim_threshold * cfg.authority_mixed_mult).otherwise(cfg.sim_threshold)
-    scored = j.select("seed", "domain", raw.alias("raw"), eff.alias("eff"), thr.alias("thr"))
-    return scored.groupBy("seed").agg(
-        F.round(F.avg("raw"), 4).alias("avg_similarity"),
-        F.round(F.max("raw"), 4).alias("max_similarity"),
-        (F.max("raw") >= cfg.sim_threshold).cast("int").alias("similarity_flag"),
-        F.sum((F.col("eff") >= F.col("thr")).cast("int")).cast("int").alias("similar_domain_count"))
-
-
-
 def _class_sums(prep: DataFrame, by: list[str], dim_col: str = "u") -> DataFrame:
     """Per-dimension sums of unit vectors of non-syndicated rows, split by
     authority class, grouped by ``by``: one ``Summarizer`` vector sum per
@@ -395,9 +367,11 @@ def similarity_scores_scalable(domains: DataFrame, prep: DataFrame, cfg: Setting
 
 
 def similarity_scores_of(vecs: DataFrame, cfg: Settings, n_rows: int, approximate: bool = False) -> DataFrame:
-    """D3 by the exact blocked pass at every size; ``approximate=True`` asks
-    for the linear average with LSH candidates instead."""
+    """D3 by the exact pruned passes (``simjoin``) at every size;
+    ``approximate=True`` asks for LSH candidates instead."""
+    from .simjoin import pinned, pruned_products, pruned_scores
     prep = prepare_vectors(vecs, cfg)
     if approximate:
         return similarity_scores_scalable(vecs, prep, cfg)
-    return similarity_scores(vecs, block_products(prep, cfg, blocks_for(n_rows)), cfg)
+    prep = pinned(prep)
+    return pruned_scores(prep, prep, pruned_products(prep, cfg, n_rows), cfg)

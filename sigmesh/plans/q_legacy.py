@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import CLUSTER_EXEMPT_REGISTRARS, RETRAIN_KEYWORDS
 from ..functions.domains import suspicious_name_retrain
 from ..operators.cadence import cadence_features, cadence_rule_flag
-from ..operators.evaluate import to_binary
+from ..operators.evaluate import SIGNALS7, evaluation_source, to_binary
 from ..operators.registration import registrar_clusters, registration_signal
 from ..operators.similarity import (average_similarity_linear, block_products, blocks_for, edge_features,
                                     pairs_or_top, prepare_vectors, similarity_pairs)
@@ -101,6 +101,10 @@ def q_similarity_pairs_or_top(spark, sf_dir):
 
 @register("legacy_feature_table", sql=LEGACY_SQL, ops=("Q7", "C1", "C15", "D1", "D2", "D5", "B11", "B33"))
 def q_legacy_feature_table(spark, sf_dir):
+    return legacy_nodes(spark, sf_dir)
+
+
+def legacy_nodes(spark, sf_dir):
     t, prep, pairs = _plain_pairs(spark, sf_dir)
     doms = M.analysed_domains(t)
     sim = edge_features(doms, pairs, LEGACY_FLAG)
@@ -144,15 +148,13 @@ def q_retrain_features(spark, sf_dir):
 
 
 @register("evaluation_source", ops=("D27",), sql=LOG_SQL + """
-select case when max(signals_triggered) >= 3 and sum(label) > 0 then 'log' else 'features' end as source,
-       cast(max(signals_triggered) as integer) as max_signals, cast(sum(label) as bigint) as positives
-from log
+select case when firing >= 3 and positives > 0 then 'log' else 'features' end as source, firing as signals_firing, positives
+from (select cast(""" + " + ".join(f"cast(sum({s}) > 0 as integer)" for s in SIGNALS7) + """ as integer) as firing,
+             cast(sum(predicted_label) as bigint) as positives from log) x
 """)
 def q_evaluation_source(spark, sf_dir):
-    log = eval_log(spark, sf_dir)
-    a = log.agg(F.max("signals_triggered").cast("int").alias("max_signals"), F.sum("label").cast("long").alias("positives"))
-    return a.select(F.when((F.col("max_signals") >= 3) & (F.col("positives") > 0), "log").otherwise("features")
-                    .alias("source"), "max_signals", "positives")
+    """The log serves if three signals fire at all and it predicts positives; else the feature table does."""
+    return evaluation_source(eval_log(spark, sf_dir))
 
 
 @register("cluster_eval", ops=("D18", "B31"), sql=LOG_SQL + """

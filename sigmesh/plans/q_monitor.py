@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..config import CLUSTER_TEXT, EVIDENCE_TIERS
 from ..operators.monitor import latest_run, monitor_cycles, monitor_health, rate_trend, run_timeline
-from ..operators.similarity import block_products, blocks_for, prepare_vectors, similarity_pairs
+from ..operators.similarity import similarity_pairs
 from ..operators.verdict import cluster_summary, cluster_text, evidence_tier, verdicts
 from ..functions.text import excerpt
 from ..sources.tables import Tables
 from . import mapping as M
 from . import sql_mapping as S
-from .q_similarity import PAIRS_SQL, SIM_CFG
+from .q_similarity import PAIRS_SQL, SIM_CFG, similarity_products
 from .q_verdict import VERDICT_SQL, build_features
 from .registry import register
 
@@ -120,10 +120,8 @@ select p.domain_a, p.domain_b, p.score,
 from p join x xa on p.domain_a = xa.domain join x xb on p.domain_b = xb.domain
 """)
 def q_evidence_pairs(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    vecs = M.vectors(t)
-    pairs = similarity_pairs(block_products(prepare_vectors(vecs, SIM_CFG), SIM_CFG,
-                                            blocks_for(t.embeddings.count())))
+    t, vecs, _, products = similarity_products(spark, sf_dir)
+    pairs = similarity_pairs(products)
     ex = vecs.select("domain", excerpt("text", 400).alias("ex"))
     e = (pairs.select("domain_a", "domain_b", F.round("raw", 4).alias("score"))
          .join(ex.select(F.col("domain").alias("domain_a"), F.col("ex").alias("ex_a")), "domain_a")

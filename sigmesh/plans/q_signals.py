@@ -129,8 +129,12 @@ def q_hosting_signal(spark, sf_dir):
   from s where hosting_flagged = 1
   union all
   select domain, 'SAME_ASN', case when is_cdn then k_asn_gate else k_asn end from s where hosting_flagged = 1),
-g as (select edge_type, group_key, count(*) as n from m where group_key is not null group by 1, 2)
-select edge_type, group_key, n, cast(n * (n - 1) / 2 as bigint) as pairs from g where n > 1
+g as (select edge_type, group_key, count(*) as n from m where group_key is not null group by 1, 2),
+i as (select a.group_key, b.group_key as ip_key, count(*) as k from m a join m b on a.domain = b.domain
+      where a.edge_type = 'SAME_ASN' and b.edge_type = 'SAME_IP' and a.group_key is not null and b.group_key is not null group by 1, 2),
+j as (select group_key, sum(cast(k * (k - 1) / 2 as bigint)) as taken from i group by 1)
+select edge_type, g.group_key, n, cast(n * (n - 1) / 2 as bigint) - case when edge_type = 'SAME_ASN' then cast(coalesce(taken, 0) as bigint) else 0 end as pairs
+from g left join j on g.group_key = j.group_key where n > 1
 """)
 def q_host_group_pairs(spark, sf_dir):
     return host_pair_counts(host_memberships(_hosting(spark, sf_dir)))

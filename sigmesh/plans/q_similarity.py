@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.similarity import (average_similarity_linear, block_products, blocks_for, classify_pairs,
-                                    lsh_pairs, prepare_vectors, seed_vs_corpus, similarity_pairs,
-                                    similarity_scores)
+from ..operators.search import search
+from ..operators.simjoin import pinned, pruned_products, pruned_scores
+from ..operators.similarity import (average_similarity_linear, classify_pairs, lsh_pairs, prepare_vectors, similarity_pairs)
 from ..sources.tables import Tables
 from . import mapping as M
 from . import sql_mapping as S
@@ -18,11 +18,11 @@ from .registry import register
 SIM_CFG = BASE_CFG.with_(sim_threshold=0.30, sim_edge_threshold=0.30)
 
 
-def _blocks(spark, sf_dir, cfg=SIM_CFG):
+def similarity_products(spark, sf_dir, cfg=SIM_CFG):
     t = Tables(spark, sf_dir)
     vecs = M.vectors(t)
-    prep = prepare_vectors(vecs, cfg)
-    return t, vecs, prep, block_products(prep, cfg, blocks_for(t.embeddings.count()))
+    prep = pinned(prepare_vectors(vecs, cfg))
+    return t, vecs, prep, pruned_products(prep, cfg, prep.count())
 
 
 def _sql_pairs(t: float) -> str:
@@ -52,8 +52,8 @@ from a left join g on a.domain = g.d
 
 @register("similarity_scores", sql=SCORES_SQL, ops=("C3", "C4", "D3", "B7", "B8", "B22", "H5", "H15", "H16"))
 def q_similarity_scores(spark, sf_dir):
-    t, vecs, prep, blocks = _blocks(spark, sf_dir)
-    return similarity_scores(vecs, blocks, SIM_CFG)
+    t, vecs, prep, products = similarity_products(spark, sf_dir)
+    return pruned_scores(prep, prep, products, SIM_CFG)
 
 
 PAIRS_SQL = _sql_pairs(SIM_CFG.sim_threshold) + """
@@ -64,8 +64,8 @@ from e where d < o and eff >= thr
 
 @register("similarity_pairs_exact", sql=PAIRS_SQL, ops=("C3", "C4", "B22", "H14", "F1"))
 def q_similarity_pairs_exact(spark, sf_dir):
-    t, vecs, prep, blocks = _blocks(spark, sf_dir)
-    p = similarity_pairs(blocks)
+    t, vecs, prep, products = similarity_products(spark, sf_dir)
+    p = similarity_pairs(products)
     return p.select("domain_a", "domain_b", F.round("raw", 4).alias("score"), F.round("eff", 4).alias("effective"))
 
 
@@ -104,8 +104,8 @@ from y
 
 @register("similarity_edges", sql=EDGES_SQL, ops=("C4", "B21", "B22", "G5", "H20"))
 def q_similarity_edges(spark, sf_dir):
-    t, vecs, prep, blocks = _blocks(spark, sf_dir)
-    return classify_pairs(similarity_pairs(blocks), vecs, M.bylines(t), SIM_CFG)
+    t, vecs, prep, products = similarity_products(spark, sf_dir)
+    return classify_pairs(similarity_pairs(products), vecs, M.bylines(t), SIM_CFG)
 
 
 @register("similarity_avg_linear", ops=("D4", "H15", "H16"), sql=f"""
@@ -129,7 +129,7 @@ def q_similarity_pairs_lsh(spark, sf_dir):
 @register("seed_vs_corpus", ops=("C5", "B6"), sql=f"""
 with v as ({S.VECTORS}),
 a as (select domain, parent, cast(embedding as double[]) as e, {S.sql_authority('domain')} as auth from v),
-s as (select * from a where parent = 'site0'),
+s as (select * from a where cast(substr(domain, 2) as bigint) % 50 = 0),
 p as (select s.domain as seed, list_cosine_similarity(s.e, c.e) as raw, s.auth as sa, c.auth as ca
       from s join a c on c.domain <> s.domain)
 select seed, round(favg(raw), 4) + 0.0 as avg_similarity, round(max(raw), 4) + 0.0 as max_similarity,
@@ -141,6 +141,7 @@ select seed, round(favg(raw), 4) + 0.0 as avg_similarity, round(max(raw), 4) + 0
 from p group by seed
 """)
 def q_seed_vs_corpus(spark, sf_dir):
-    """Every page of one site (parent ``site0``) against the whole corpus."""
-    prep = prepare_vectors(M.vectors(Tables(spark, sf_dir)), SIM_CFG)
-    return seed_vs_corpus(prep.filter(F.col("parent") == "site0"), prep, SIM_CFG)
+    """Every row whose id is divisible by 50 against all rows."""
+    prep = pinned(prepare_vectors(M.vectors(Tables(spark, sf_dir)), SIM_CFG))
+    seeds = prep.filter(F.substring("domain", 2, 20).cast("long") % 50 == 0)
+    return search(seeds, prep, SIM_CFG, seeds.count(), prep.count())[0]

@@ -1,4 +1,5 @@
-"""File sources and sinks.
+"""File sources and sinks (A2, A3, A9, A10, A19, A20, A22; page archives are in
+``archive``, the model store in ``versions``).
 
 Readers declare schemas (no inference); writers use the committer protocol
 (no temp-file renames) and partition where later reads prune.
@@ -23,16 +24,6 @@ def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
             .option("escape", '"').csv(path))
 
 
-def read_pages_archive(spark: SparkSession, path: str, min_body: int = 100, min_text_chars: int = 100) -> DataFrame:
-    """Raw page records (A1): ``response`` records with an HTML content type
-    and an http URL, body >= ``min_body`` bytes; the text filter applies after
-    parsing (see ``operators.pages``)."""
-    df = spark.read.parquet(path)
-    return (df.filter((F.col("record_type") == "response") &
-                      F.lower(F.col("content_type")).contains("text/html") &
-                      F.col("url").startswith("http") & (F.length("html") >= min_body)))
-
-
 def tolerant_corpus(frames: list[DataFrame], max_chars: int | None = None, min_chars: int = 50) -> DataFrame:
     """Corpus from several sources in priority order (A3): text = first present
     of text/content/page_text/body; links and timestamp likewise with a default
@@ -116,13 +107,3 @@ def write_metrics(df: DataFrame, path: str, section: str) -> None:
     overwrite replaces only that section."""
     (df.withColumn("section", F.lit(section)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("section").parquet(path))
-
-
-def save_model_meta(spark: SparkSession, path: str, features: list[str], mean: list[float],
-                    scale: list[float], metrics: dict) -> None:
-    """Model side data (A21): feature list, scaler mean/scale, metrics."""
-    rows = [(f, float(m), float(s)) for f, m, s in zip(features, mean, scale)]
-    spark.createDataFrame(rows, "feature string, mean double, scale double").write.mode("overwrite") \
-        .parquet(f"{path.rstrip('/')}/scaler")
-    spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "metric string, value double") \
-        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/metrics")

@@ -85,6 +85,26 @@ def timeline(stream: DataFrame, ts: str = "ts", window: str = "6 hours",
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events"))
 
 
+def burst_sessions(stream: DataFrame, ts: str = "ts", key: str = "domain", gap: str = "1 hour",
+                   lateness: str = "1 hour") -> DataFrame:
+    """Publishing bursts (S6): runs of one domain's pages less than ``gap``
+    apart, as session windows. A burst is given out once no page can join it:
+    when its end has passed the watermark."""
+    return (stream.withWatermark(ts, lateness)
+            .groupBy(key, F.session_window(ts, gap).alias("w"))
+            .agg(F.count(F.lit(1)).alias("pages"), F.max(ts).alias("last_page"))
+            .select(key, F.col("w.start").alias("burst_start"), "last_page", "pages"))
+
+
+def sliding_trend(stream: DataFrame, ts: str = "ts", window: str = "24 hours", slide: str = "6 hours",
+                  lateness: str = "6 hours") -> DataFrame:
+    """Moving totals (S5): events of the last ``window``, every ``slide``."""
+    return (stream.withWatermark(ts, lateness)
+            .groupBy(F.window(ts, window, slide).alias("w"))
+            .agg(F.count(F.lit(1)).alias("events"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (a URI on a cluster)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:8]}"
