@@ -7,10 +7,11 @@ in the document with the largest doc_id. The positions to drop come back to
 their document, whose text is cut around them in one pass.
 
 Defined cases: a null or empty text is one empty line; keys shorter than
-``min_chars`` code points never count; rows with the same doc_id and text are
-repeats, counted once each and treated alike; a row with null doc_id keeps a
-key only if no row with an id has it; an empty table gives an empty result.
-Other columns are not read.
+``min_chars`` code points never count; documents are counted by their doc_id, so
+rows of one id count once, whatever their texts, and rows without an id don't
+count; the largest id keeps its lines in all of its rows, rows without an id
+lose theirs; an empty table gives an empty result. A long text is split whole
+inside one row. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, min_chars: int = M
     lines = lines.select("doc_id", "row", "pos", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
     lines = lines.select("doc_id", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     at = scratch.table(lines.groupBy("row", "doc_id", "h1", "h2").agg(F.collect_set("pos").alias("at")), "lines")
-    often = (at.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
+    often = (at.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper"))
              .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper", F.lit(True).alias("often")))
     hit = salted_left_join(at, often, ["h1", "h2"], "row").filter(F.col("often") & ~F.col("doc_id").eqNullSafe(F.col("keeper")))
     drops = hit.groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("at"))).alias("drop"))

@@ -70,6 +70,14 @@ def test_line_dedup(spark, docs, none):
         want.append((i, "\n".join(left), len(lines), len(lines) - len(left)))
     assert rows(line_dedup.drop_repeated_lines(spark, docs), "doc_id", "kept_text", "n_lines", "n_dropped") == sorted(want, key=repr)
     assert sum(w[3] for w in want) == 4
+    # documents are counted by id: two ids (one with two texts) and one id beside rows without any are too few
+    line = "a line of more than twenty characters"
+    for ids in ([1, 1, 2], [None, None, None, 2]):
+        few = spark.createDataFrame([(i, f"{line}\n{k}") for k, i in enumerate(ids)], "doc_id long, text string")
+        assert all(r.n_dropped == 0 for r in line_dedup.drop_repeated_lines(spark, few).collect())
+    three = spark.createDataFrame([(i, f"{line}\n{k}") for k, i in enumerate([1, 1, 2, 3, 3, None])], "doc_id long, text string")
+    assert rows(line_dedup.drop_repeated_lines(spark, three), "doc_id", "n_dropped") == sorted(
+        [(1, 1), (1, 1), (2, 1), (3, 0), (3, 0), (None, 1)], key=repr)
     assert line_dedup.drop_repeated_lines(spark, none).count() == 0
 
 
