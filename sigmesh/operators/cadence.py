@@ -74,6 +74,11 @@ def top_bursty(features: DataFrame, k: int = 10) -> DataFrame:
     return features.orderBy(F.desc("burst_score"), F.asc("domain")).limit(k)
 
 
+def top_anomalies(scored: DataFrame, k: int = 5) -> DataFrame:
+    """the ``k`` most anomalous domains, lowest score first, ties by name."""
+    return scored.orderBy(F.asc("anomaly_score"), F.asc("domain")).limit(k)
+
+
 def cadence_row_features(pages: DataFrame, domain: str = "domain", ts: str = "ts",
                          text: str = "text", links: str = "links") -> DataFrame:
     """Live per-row features: hour, minute, weekday (0 when unparsable),

@@ -172,6 +172,33 @@ def evaluation_source(log: DataFrame) -> DataFrame:
                     "signals_firing", "positives")
 
 
+def cluster_runs(verdicts: DataFrame, truth: DataFrame, flags: list[str]) -> DataFrame:
+    """A row for each of the two clusters (all positive domains, all negative
+    ones) and one overall. Per cluster: domains, flagged, flagged rate and how
+    many domains each of ``flags`` fires on; a domain without a verdict counts
+    as ORGANIC. Overall: TP, FN, FP, TN, precision, recall and F1."""
+    j = truth.select("domain", "label").join(verdicts.select("domain", "verdict", *flags), "domain", "left")
+    j = j.withColumn("verdict", F.coalesce("verdict", F.lit("ORGANIC"))).withColumn("_hit", to_binary("verdict"))
+    g = j.groupBy("label").agg(F.count(F.lit(1)).alias("n_domains"), F.sum("_hit").cast("long").alias("n_flagged"),
+                               *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("long").alias(c) for c in flags])
+    g = g.select(F.when(F.col("label") == 1, "synthetic_cluster").otherwise("organic_cluster").alias("cluster"), "n_domains", "n_flagged",
+                 F.round(F.col("n_flagged") / F.col("n_domains"), 4).alias("flagged_rate"), *flags)
+    of = {n: F.coalesce(F.max(F.when(F.col("cluster") == c, x)), F.lit(0).cast("long")) for n, c, x in (
+        ("tp", "synthetic_cluster", F.col("n_flagged")), ("fn", "synthetic_cluster", F.col("n_domains") - F.col("n_flagged")),
+        ("fp", "organic_cluster", F.col("n_flagged")), ("tn", "organic_cluster", F.col("n_domains") - F.col("n_flagged")))}
+    total = g.agg(*[v.alias(n) for n, v in of.items()])
+    tp, fn, fp = F.col("tp"), F.col("fn"), F.col("fp")
+    total = total.select(F.lit("overall").alias("cluster"), "tp", "fn", "fp", "tn", F.round(_div(tp, tp + fp), 4).alias("precision"),
+                         F.round(_div(tp, tp + fn), 4).alias("recall"), F.round(_div(2 * tp, 2 * tp + fp + fn), 4).alias("f1"))
+    return g.unionByName(total, allowMissingColumns=True)
+
+
+def signal_matrix(verdicts: DataFrame, flags: list[str]) -> DataFrame:
+    """One row per domain and signal, fired 0 or 1."""
+    long = F.explode(F.array(*[F.struct(F.lit(c).alias("signal"), F.coalesce(F.col(c), F.lit(0)).cast("int").alias("fired")) for c in flags]))
+    return verdicts.select("domain", long.alias("m")).select("domain", "m.signal", "m.fired")
+
+
 def cluster_eval(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
     """Flagged rate and mean signals for the two label groups, then the
     confusion counts."""

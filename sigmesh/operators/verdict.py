@@ -216,7 +216,7 @@ def evidence_tier(col: str = "score") -> Column:
 
 def domain_view(v: DataFrame) -> DataFrame:
     """Per-domain screen view (B37): recount flags, REVIEW at >= 1, confidence
-    without model probability, age text, first shared author."""
+    without model probability, age text, archive text, first shared author."""
     n = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in SIGNAL_OUT])
     age = F.col("domain_age_days")
     age_txt = (F.when(age.isNull() | (age < 0), F.lit("age unknown"))
@@ -228,4 +228,7 @@ def domain_view(v: DataFrame) -> DataFrame:
         verdict_col(n, "stored").alias("screen_verdict"),
         confidence_col(n, "max_similarity", "burst_score", F.lit(0.0)).alias("screen_confidence"),
         age_txt.alias("age_text"),
+        F.when(F.col("wayback_flag_reason") == "new_site", F.lit("new site"))
+         .when(F.coalesce(F.col("wayback_flag_reason"), F.lit("")) != "", F.lit("archive spike"))
+         .otherwise(F.format_string("%d snapshots", F.coalesce(F.col("wayback_snapshot_count"), F.lit(0)))).alias("archive_text"),
         F.coalesce(F.try_element_at(F.from_json("shared_authors", "array<string>"), F.lit(1)), F.lit("")).alias("first_author"))

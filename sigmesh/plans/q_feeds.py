@@ -15,7 +15,7 @@ from .registry import register
 
 SOCIAL_SQL = f"""
 select distinct d as domain from (select {sql_url_domain_any('url')} as d from pages) x
-where d is not null and d <> '' and d <> 'reddit.com'
+where d is not null and d <> '' and not contains(d, 'reddit.com')
 """
 REG_FEED_SQL = f"""
 select domain from (select distinct lower(trim({sql_url_domain('url')})) as domain from pages) x

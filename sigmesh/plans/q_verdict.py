@@ -253,6 +253,8 @@ select domain, cast(sig as integer) as signals,
   case when domain_age_days is null or domain_age_days < 0 then 'age unknown'
        when domain_age_source = 'wayback_estimate' then printf('~%d days (archive estimate)', domain_age_days)
        else printf('%d days old', domain_age_days) end as age_text,
+  case when wayback_flag_reason = 'new_site' then 'new site' when coalesce(wayback_flag_reason, '') <> '' then 'archive spike'
+       else printf('%d snapshots', coalesce(wayback_snapshot_count, 0)) end as archive_text,
   coalesce(cast(json(shared_authors) as varchar[])[1], '') as first_author
 from w
 """)

@@ -29,7 +29,7 @@ def register(name: str, sql: Optional[str] = None, ops: tuple = ()):
     return deco
 
 
-MODULES = ("q_cadence", "q_signals", "q_similarity", "q_verdict", "q_text", "q_evaluate", "q_graph", "q_feeds", "q_models", "q_pages", "q_lookup", "q_legacy", "q_graphnet", "q_iterative", "q_monitor", "q_extra", "q_archive", "q_cycles", "q_search", "q_store", "q_crawl")
+MODULES = ("q_cadence", "q_signals", "q_similarity", "q_verdict", "q_text", "q_evaluate", "q_graph", "q_feeds", "q_models", "q_pages", "q_lookup", "q_legacy", "q_graphnet", "q_iterative", "q_monitor", "q_extra", "q_archive", "q_cycles", "q_search", "q_store", "q_crawl", "q_varied", "q_review")
 
 
 def load_all() -> dict[str, QuerySpec]:

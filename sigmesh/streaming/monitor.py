@@ -152,11 +152,22 @@ def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 def social_feed_domains(posts: DataFrame, url_col: str = "url", text_col: str | None = None) -> DataFrame:
     """Domains from posts (A5): link URL plus URLs in the post text; host
     lower-cased without any ``www.``; drop empty, dotless and the social
-    site itself; distinct."""
+    site itself under any of its names; distinct."""
     urls = F.array(F.col(url_col))
     if text_col:
         urls = F.concat(urls, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")),
                                                    F.lit(r"https?://[^\s)\]]+"), 0))
     d = posts.select(F.explode(urls).alias("u")).select(url_domain_any("u").alias("domain"))
-    return d.filter(F.col("domain").isNotNull() & (F.col("domain") != "") & (F.col("domain") != "reddit.com")) \
+    return d.filter(F.col("domain").isNotNull() & (F.col("domain") != "") & ~F.contains("domain", F.lit("reddit.com"))) \
             .distinct()
+
+
+LISTING = ("struct<data:struct<children:array<struct<data:struct<url:string, url_overridden_by_dest:string, selftext:string>>>>>")
+
+
+def listing_posts(raw: DataFrame, col: str = "listing") -> DataFrame:
+    """Posts of listing documents (A5), one row each: the address a post leads
+    to (its own page, else its url) and its text; unreadable documents give none."""
+    posts = raw.select(F.explode(F.from_json(F.col(col), LISTING)["data"]["children"]).alias("c")).select("c.data.*")
+    url = F.coalesce(F.nullif(F.col("url_overridden_by_dest"), F.lit("")), F.col("url"), F.lit(""))
+    return posts.select(url.alias("url"), F.coalesce("selftext", F.lit("")).alias("selftext"))
