@@ -46,6 +46,8 @@ FAULT = 97
 TIMES = 2
 #: Words of one block of a bucket.
 BLOCK = 4096
+#: Rows (a word in one of its buckets) of a task, on average.
+TASK_ROWS = 25_000
 #: Cells (pairs of words) of one step of a tile.
 CELLS = 1 << 21
 
@@ -221,7 +223,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_words(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
     """Words with near words: word, n_near, near (the best one) and near_n."""
-    tiles = _tiles(vocabulary, block).repartition(*_KEY).sortWithinPartitions(*_KEY)
+    # a number of its own: the rows are small but dear, and would be coalesced by their size
+    parts = max(1, -(-4 * vocabulary.count() // TASK_ROWS))
+    tiles = _tiles(vocabulary, block).repartition(parts, *_KEY).sortWithinPartitions(*_KEY)
     met = tiles.mapInArrow(_compare, "word string, n_near long, near string, near_n long")
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near")))
     return (met.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
