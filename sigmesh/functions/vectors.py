@@ -28,8 +28,3 @@ def unit(a) -> Column:
 def cosine(a, b) -> Column:
     """Cosine similarity of two vectors."""
     return dot(a, b) / (norm(a) * norm(b))
-
-
-def vsum_agg(col, dim: int) -> list[Column]:
-    """Per-dimension sums as separate aggregate columns (used by the linear-time average)."""
-    return [F.sum(F.element_at(_c(col), i + 1)).alias(f"s{i}") for i in range(dim)]

@@ -51,9 +51,3 @@ def author_pair_counts(memberships: DataFrame) -> DataFrame:
     return (memberships.select("author_norm", "author_domains").distinct()
             .select("author_norm", F.col("author_domains").cast("long").alias("n"),
                     (F.col("author_domains") * (F.col("author_domains") - 1) / 2).cast("long").alias("pairs")))
-
-
-def quoted_names(col, k: int = 3):
-    """``"a", "b", "c"`` from the first ``k`` names."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.concat_ws(", ", F.transform(F.slice(c, 1, k), lambda x: F.concat(F.lit('"'), x, F.lit('"'))))

@@ -199,17 +199,6 @@ def signal_matrix(verdicts: DataFrame, flags: list[str]) -> DataFrame:
     return verdicts.select("domain", long.alias("m")).select("domain", "m.signal", "m.fired")
 
 
-def cluster_eval(verdicts: DataFrame, truth: DataFrame) -> DataFrame:
-    """Flagged rate and mean signals for the two label groups, then the
-    confusion counts."""
-    j = verdicts.join(truth, "domain")
-    j = j.withColumn("flagged", to_binary("verdict"))
-    g = j.groupBy("label").agg(F.count(F.lit(1)).alias("domains"),
-                               F.round(F.avg("flagged"), 4).alias("flagged_rate"),
-                               F.round(F.avg("signals_triggered"), 4).alias("mean_signals"))
-    return g
-
-
 def silent_failure(probs: DataFrame, t: float, outlets=None) -> DataFrame:
     """Listed wire/local outlets whose probability reaches ``t`` (must be
     empty for a safe model).  The outlet list is a fixed literal list, so it

@@ -59,26 +59,6 @@ def monitor_cycles(feed: DataFrame, verdicts: DataFrame, window: str = "6 hours"
         "queued_unique", "batches", "results", "synthetic_batches")
 
 
-def failed_domains(seeds: DataFrame, results: DataFrame) -> DataFrame:
-    """Seeds without a result."""
-    return seeds.select("domain").join(results.select("domain"), "domain", "left_anti")
-
-
-def monitor_summary(whois_feed: DataFrame, social_feed: DataFrame, batches: DataFrame,
-                    batch_verdicts: DataFrame, ran_at: str) -> DataFrame:
-    """Run summary line (D13): feed counts, merged distinct, batches, results,
-    synthetic batches."""
-    w = whois_feed.agg(F.count(F.lit(1)).cast("int").alias("whoisds_count"))
-    r = social_feed.agg(F.count(F.lit(1)).cast("int").alias("reddit_count"))
-    b = batches.agg(F.count(F.lit(1)).cast("int").alias("queued_unique"),
-                    F.count_distinct("batch_id").cast("int").alias("batches"))
-    v = batch_verdicts.agg(F.count(F.lit(1)).cast("int").alias("results"),
-                           F.count_distinct(F.when(F.col("verdict") == "SYNTHETIC", F.col("batch_id")))
-                           .cast("int").alias("synthetic_batches"))
-    from .skew import one_row_join
-    return one_row_join(one_row_join(one_row_join(w, r), b), v).select(F.lit(ran_at).alias("ran_at"), "*")
-
-
 def append_run(summary: DataFrame, path: str) -> None:
     """Append one run line."""
     summary.write.mode("append").json(path)

@@ -76,3 +76,30 @@ def test_listings(spark):
     posts = listing_posts(raw)
     assert posts.count() == 3 and posts.filter(F.col("url") == "").count() == 1
     assert {r.domain for r in social_feed_domains(posts, "url", "selftext").collect()} == {"one.example", "two.example", "three.example"}
+
+
+def test_tables_and_versions(spark, tmp_path):
+    from sigmesh.sources.files import publish, read_csv_table, read_latest, write_table
+    (tmp_path / "a.csv").write_text('domain,text,n\n"a.example","two\nlines, one ""quote""",3\nb.example,,\n')
+    rows = {r.domain: (r.text, r.n) for r in read_csv_table(spark, str(tmp_path / "a.csv"), "domain string, text string, n int").collect()}
+    assert rows == {"a.example": ('two\nlines, one "quote"', 3), "b.example": (None, None)}
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "n int, k string")
+    write_table(df, str(tmp_path / "t"), ["k"])
+    write_table(df.filter("n = 2"), str(tmp_path / "t"), ["k"])
+    assert [(r.n, r.k) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [(2, "y")]
+    for v in ("v9", "v10"):
+        publish(df.withColumn("k", F.lit(v)), str(tmp_path / "p"), v)
+    assert {r.k for r in read_latest(spark, str(tmp_path / "p")).collect()} == {"v10"}
+
+
+def test_run_log(spark, tmp_path):
+    from sigmesh.operators.monitor import append_run, latest_run, read_runs
+    path = str(tmp_path / "runs")
+    line = "ran_at string, whoisds_count int, reddit_count int, queued_unique int, batches int, results int, synthetic_batches int"
+    for at, syn in (("2024-01-01T06:00:00+00:00", 1), ("2024-01-01T09:00:00+02:00", 0)):
+        append_run(spark.createDataFrame([(at, 0, 5, 5, 1, 1, syn)], line), path)
+    with open(tmp_path / "runs" / "broken.json", "w") as f:
+        f.write("\n{not json\n")
+    runs = read_runs(spark, path)
+    assert runs.count() == 2 and latest_run(runs).first().ran_at == "2024-01-01T09:00:00+02:00"
+    assert latest_run(runs.limit(0)).first().status == "no-data"
