@@ -4,15 +4,17 @@ A document's set holds the 64-bit hashes of its distinct 3-word shingles (of
 the whole word sequence if it is shorter). Documents with the same set are
 one representative. ``BANDS`` bands of ``ROWS`` MinHash values find candidate
 pairs: a pair at the threshold of 0.85 shares no band with a chance of about
-1e-10. The MinHash samples are also folded into an odd sketch, a bitmap of
+1.4e-7 ((1 - 0.85 ** ROWS) ** BANDS). The MinHash samples are also folded into an odd sketch, a bitmap of
 the parity of hashed samples; the population count of the XOR of two
 sketches estimates the similarity, and pairs estimated far below the
 threshold (over six standard deviations) go no further. What is left is
 checked on the full sets.
 
 No group is ever expanded into all its pairs:
-* first every member of a bucket is compared with the bucket's smallest
-  member, and the links found are joined into components;
+* first every member of a bucket is paired with the bucket's smallest member.
+  Of a document's pairs the one with the closest sketch is checked on the full
+  texts, and the links found are joined into components; then the other pairs,
+  as far as they still lie across components;
 * then only buckets that still hold several components are looked at, and
   only pairs across components. Members of a bucket's largest component meet
   the others block against block (``BLOCK`` rows at most on a side) inside a
@@ -43,7 +45,7 @@ from .common import Scratch, documents, salted_left_join
 
 SHINGLE = 3
 PER_CENT = 85  # link when 100 * intersection >= PER_CENT * union
-BANDS, ROWS = 72, 8
+BANDS, ROWS = 72, 10
 SKETCH_BITS = 1024
 DEVIATIONS = 6.5
 #: Samples, bits and deviations of the sharper sketch for pairs inside open buckets.
@@ -203,10 +205,17 @@ def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, label: str)
     return pairs, found
 
 
-def _close(n_a, n_b, s_a, s_b):
-    """Sizes and sketches leave the threshold possible."""
-    differ = F.aggregate(F.zip_with(s_a, s_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return (100 * F.least(n_a, n_b) >= PER_CENT * F.greatest(n_a, n_b)) & (differ <= largest_difference())
+def _differ(s_a, s_b):
+    """Bits in which two sketches differ."""
+    return F.aggregate(F.zip_with(s_a, s_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+
+
+def _of_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components."""
+    of = labels.select(F.col("node"), F.col("component"))
+    j = (pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left")
+         .join(of.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left"))
+    return j.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
 
 
 def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -256,13 +265,15 @@ def _across(scratch: Scratch, buckets: DataFrame, labels: DataFrame, texts: Data
         .otherwise(F.transform(all_blocks, lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j"))))
     rows = rows.withColumn("m", F.explode(meets)).select("key", "doc_id", "component", "m.i", "m.j", "block")
     rows = scratch.table(rows, "block-rows")
+    n_rows = rows.count()
     open_texts = texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
     sketches = scratch.table(open_texts.mapInArrow(_wide_batches, "doc_id long, n_shingles long, sketch binary, wide binary"), "sketches")
     rows = rows.join(sketches, "doc_id")
     rows = rows.select("key", "i", "j", "doc_id", "component", "n_shingles", "sketch", "wide",
                        (F.col("block") == F.col("i")).alias("is_left"), (F.col("block") == F.col("j")).alias("is_right"))
     # a number of its own: the rows are few but dear, and would be coalesced by their size
-    rows = rows.repartition(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
+    parts = max(int(scratch.spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // (2 * BLOCK)))
+    rows = rows.repartition(parts, "key", "i", "j")
     return rows.groupBy("key", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct()
 
 
@@ -288,12 +299,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     star = buckets.filter("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     ia = info.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     ib = info.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
-    near = star.join(ia, "a").join(ib, "b").filter(_close(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b"))).select("a", "b")
-    met, links = _confirmed(scratch, near, texts, "star")
+    near = star.join(ia, "a").join(ib, "b").filter(100 * F.least("n_a", "n_b") >= PER_CENT * F.greatest("n_a", "n_b"))
+    near = near.withColumn("differ", _differ(F.col("s_a"), F.col("s_b"))).filter(F.col("differ") <= largest_difference())
+    met = scratch.table(near.select("a", "b", "differ"), "near")
+    closest = met.groupBy("b").agg(F.min(F.struct("differ", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    seen, links = _confirmed(scratch, closest, texts, "closest")
+    labels = component_labels(links, "a", "b")
+    rest = _of_components(met.select("a", "b").join(seen, ["a", "b"], "left_anti"), labels)
+    _, found = _confirmed(scratch, rest, texts, "star")
+    links = links.unionByName(found)
     labels = component_labels(links, "a", "b")
     more = _across(scratch, buckets.select("doc_id", "key"), labels, texts)
     if more is not None:
-        _, found = _confirmed(scratch, more.join(met, ["a", "b"], "left_anti"), texts, "across")
+        _, found = _confirmed(scratch, more.join(met.select("a", "b"), ["a", "b"], "left_anti"), texts, "across")
         labels = component_labels(links.unionByName(found), "a", "b")
     labels = scratch.table(labels.select(F.col("node").alias("rep"), "component"), "labels")
 
