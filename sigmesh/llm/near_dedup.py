@@ -195,14 +195,11 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _confirmed(scratch: Scratch, pairs: DataFrame, texts: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """The candidate pairs (a, b) as a table, and those that hold on their texts' full sets."""
     pairs = scratch.table(pairs, f"pairs-{label}")
-    need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    own = scratch.table(texts.join(need, "doc_id", "left_semi"), f"texts-{label}")
-    ta = own.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    tb = own.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
-    found = scratch.table(rows.mapInArrow(_linked_batches, "a long, b long"), f"links-{label}")
-    scratch.drop(own)
-    return pairs, found
+    ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    # both sides grow with the input: one way to join them at every size
+    rows = pairs.hint("merge").join(ta, "a").hint("merge").join(tb, "b").select("a", "b", "text_a", "text_b")
+    return pairs, scratch.table(rows.mapInArrow(_linked_batches, "a long, b long"), f"links-{label}")
 
 
 def _differ(s_a, s_b):
@@ -266,7 +263,7 @@ def _across(scratch: Scratch, buckets: DataFrame, labels: DataFrame, texts: Data
     rows = rows.withColumn("m", F.explode(meets)).select("key", "doc_id", "component", "m.i", "m.j", "block")
     rows = scratch.table(rows, "block-rows")
     n_rows = rows.count()
-    open_texts = texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    open_texts = texts.join(rows.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     sketches = scratch.table(open_texts.mapInArrow(_wide_batches, "doc_id long, n_shingles long, sketch binary, wide binary"), "sketches")
     rows = rows.join(sketches, "doc_id")
     rows = rows.select("key", "i", "j", "doc_id", "component", "n_shingles", "sketch", "wide",
@@ -295,6 +292,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
               .filter("n > 1").select("key", "least"))
     buckets = scratch.table(salted_left_join(keys, shared, ["key"], "doc_id", 4).filter(F.col("least").isNotNull()), "buckets")
 
+    # the texts of all documents that share a bucket, once: every later step reads these alone
+    texts = scratch.table(texts.join(buckets.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "texts")
     info = reps.select("doc_id", "n_shingles", "sketch")
     star = buckets.filter("doc_id != least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     ia = info.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
