@@ -220,3 +220,16 @@ def test_box_bounds_keep_the_nearest():
         x, c = rng.integers(-50, 50, (20, 8)), rng.integers(-80, 80, (15, 8))
         may = centroids.candidates(x.min(0), x.max(0), c)
         assert set(((x[:, None] - c[None]) ** 2).sum(2).argmin(1)) <= set(may)
+
+
+def test_toxicity_places_go_to_texts_that_are_read(spark):
+    """Labels of texts that are too long, or of ids that are gone, take no place in the sample."""
+    from sigmesh.llm import toxicity
+    short = [(i, ("you awful horrible " if i % 4 == 0 else "a calm and friendly ") + f"text number {i}") for i in range(200)]
+    docs = spark.createDataFrame([*short, *[(1000 + i, "long " * 2000) for i in range(300)]], "doc_id long, text string")
+    labels = spark.createDataFrame([*[(i, int(i % 4 == 0)) for i in range(200)], *[(1000 + i, 1) for i in range(300)], *[(5000 + i, 1) for i in range(300)]],
+                                   "doc_id long, toxic int")
+    clf = toxicity.fit(docs, labels, rows=120)
+    got = {r.doc_id: r.score for r in toxicity.score(spark, docs, clf).collect()}
+    toxic, calm = [got[i] for i in range(200) if i % 4 == 0], [got[i] for i in range(200) if i % 4]
+    assert min(toxic) > max(calm)
