@@ -369,9 +369,8 @@ def similarity_scores_scalable(domains: DataFrame, prep: DataFrame, cfg: Setting
 def similarity_scores_of(vecs: DataFrame, cfg: Settings, n_rows: int, approximate: bool = False) -> DataFrame:
     """D3 by the exact pruned passes (``simjoin``) at every size;
     ``approximate=True`` asks for LSH candidates instead."""
-    from .simjoin import pinned, pruned_products, pruned_scores
+    from .simjoin import exact_scores, pinned
     prep = prepare_vectors(vecs, cfg)
     if approximate:
         return similarity_scores_scalable(vecs, prep, cfg)
-    prep = pinned(prep)
-    return pruned_scores(prep, prep, pruned_products(prep, cfg, n_rows), cfg)
+    return exact_scores(pinned(prep), cfg, n_rows)

@@ -32,13 +32,13 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..config import Settings
 from ..session import ensure_checkpoint_dir
-from .similarity import BLOCK_OUT, _block_task, average_effective_linear
+from .similarity import BLOCK_OUT, _block_task, average_effective_linear, similarity_scores
 
 BLOCK_ROWS = 2048
 #: Probes of one step of a tile.
 STEP_ROWS = 512
-#: Vectors per pivot, and most pivots.
-ROWS_PER_PIVOT = 512
+#: Vectors per pivot (a cell below a block would save nothing), and most pivots.
+ROWS_PER_PIVOT = BLOCK_ROWS
 MAX_PIVOTS = 64
 #: Rows that pivots are chosen from (those with the smallest hash of their key).
 SAMPLE_ROWS = 2048
@@ -136,32 +136,43 @@ def _probe_task(cfg: Settings, edge_floor: float):
     return run
 
 
+def _number(of: dict) -> F.Column:
+    """A number per cell, as an expression."""
+    return F.element_at(F.create_map(*[F.lit(int(x)) for c in sorted(of) for x in (c, of[c])]), F.col("cell"))
+
+
+def _own_block() -> F.Column:
+    return F.pmod(F.xxhash64("domain"), F.col("_blocks")).cast("int")
+
+
+def _home_pass(rows: DataFrame, blocks: dict, cfg: Settings, floor: float) -> DataFrame:
+    """Every cell (``home``) against itself; ``blocks`` has the number of blocks of each."""
+    home = rows.withColumn("cell", F.col("home")).withColumn("_blocks", _number(blocks)).withColumn("_own", _own_block())
+    start = F.col("cell") * _CELL_BLOCKS
+    home = (home.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            .select((start + F.least("_own", "_other")).alias("lo"), (start + F.greatest("_own", "_other")).alias("hi"),
+                    (start + F.col("_own")).alias("blk"), "domain", "parent", "u", "auth", "synd"))
+    inner = _block_task(cfg.sim_threshold, cfg.authority_pair_weight, cfg.authority_mixed_weight, cfg.authority_pair_mult,
+                        cfg.authority_mixed_mult, floor)
+    return home.groupBy("lo", "hi").applyInPandas(inner, BLOCK_OUT).checkpoint()
+
+
 def pruned_products(prep: DataFrame, cfg: Settings, n_rows: int, edge_floor: float | None = None, pivots: int | None = None,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
     """'pair' and 'part' rows as of ``block_products`` for vectors that are ``pinned``; a part's ``n`` counts compared partners, its ``sum_eff`` means nothing."""
     floor = cfg.sim_edge_threshold if edge_floor is None else edge_floor
+    if not n_rows:
+        return prep.sparkSession.createDataFrame([], BLOCK_OUT)
     want = min(MAX_PIVOTS, max(1, math.ceil(n_rows / ROWS_PER_PIVOT))) if pivots is None else pivots
+    if want == 1:  # one cell needs no pivot
+        return _home_pass(prep.withColumn("home", F.lit(0)), {0: math.ceil(n_rows / block_rows)}, cfg, floor)
     points = choose_pivots(prep, want)
-    if not len(points):
-        return prep.sparkSession.createDataFrame([], BLOCK_OUT)
     rows = _with_home(prep, points).checkpoint()
     cells = {r["home"]: r for r in rows.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r")).collect()}  # a row a pivot
     radius = np.array([cells[c]["r"] if c in cells else -1.0 for c in range(len(points))])
     blocks = {c: max(1, math.ceil(cells[c]["n"] / block_rows)) for c in cells}
 
-    def number(of: dict) -> F.Column:
-        """A number per cell, as an expression."""
-        return F.element_at(F.create_map(*[F.lit(int(x)) for c in sorted(of) for x in (c, of[c])]), F.col("cell"))
-
-    own = F.pmod(F.xxhash64("domain"), F.col("_blocks")).cast("int")
-    home = rows.withColumn("cell", F.col("home")).withColumn("_blocks", number(blocks)).withColumn("_own", own)
-    start = F.col("cell") * _CELL_BLOCKS
-    home = (home.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-            .select((start + F.least("_own", "_other")).alias("lo"), (start + F.greatest("_own", "_other")).alias("hi"),
-                    (start + F.col("_own")).alias("blk"), "domain", "parent", "u", "auth", "synd"))
-    inner = _block_task(cfg.sim_threshold, cfg.authority_pair_weight, cfg.authority_mixed_weight, cfg.authority_pair_mult,
-                        cfg.authority_mixed_mult, floor)
-    found = home.groupBy("lo", "hi").applyInPandas(inner, BLOCK_OUT).checkpoint()
+    found = _home_pass(rows, blocks, cfg, floor)
     if len(points) == 1:
         return found
 
@@ -173,16 +184,24 @@ def pruned_products(prep: DataFrame, cfg: Settings, n_rows: int, edge_floor: flo
         return found
     groups = {c: math.ceil(sent[c] / block_rows) for c in sent}
     key = F.xxhash64("domain", F.lit(1))
-    who = (probes.withColumn("a", F.pmod(key, number(groups)).cast("int"))
-           .withColumn("b", F.explode(F.sequence(F.lit(0), number(blocks) - 1))).withColumn("probe", F.lit(True)))
+    who = (probes.withColumn("a", F.pmod(key, _number(groups)).cast("int"))
+           .withColumn("b", F.explode(F.sequence(F.lit(0), _number(blocks) - 1))).withColumn("probe", F.lit(True)))
     them = (rows.withColumn("cell", F.col("home")).filter(F.col("cell").isin([int(c) for c in groups]))
-            .withColumn("_blocks", number(blocks)).withColumn("b", own)
-            .withColumn("a", F.explode(F.sequence(F.lit(0), number(groups) - 1))).withColumn("probe", F.lit(False)))
+            .withColumn("_blocks", _number(blocks)).withColumn("b", _own_block())
+            .withColumn("a", F.explode(F.sequence(F.lit(0), _number(groups) - 1))).withColumn("probe", F.lit(False)))
     cols = ["cell", "a", "b", "probe", "domain", "parent", "u", "auth", "synd"]
     outer = who.select(*cols).unionByName(them.select(*cols)).groupBy("cell", "a", "b").applyInPandas(_probe_task(cfg, floor), BLOCK_OUT)
     return found.unionByName(outer.checkpoint())
 
 
+def exact_scores(prep: DataFrame, cfg: Settings, n_rows: int) -> DataFrame:
+    """D3 for ``pinned`` vectors. A single cell has compared all pairs, so its sums give the averages as well."""
+    products = pruned_products(prep, cfg, n_rows)
+    if n_rows <= ROWS_PER_PIVOT:
+        return similarity_scores(prep, products, cfg)
+    return pruned_scores(prep, prep, products, cfg)
+
+
 def pairs_compared(products: DataFrame) -> DataFrame:
     """One row: ordered comparisons of different sites that the passes made."""
     return products.filter("kind = 'part'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("compared"))

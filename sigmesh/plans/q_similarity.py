@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.search import search
-from ..operators.simjoin import pinned, pruned_products, pruned_scores
-from ..operators.similarity import (average_similarity_linear, classify_pairs, lsh_pairs, prepare_vectors, similarity_pairs)
+from ..operators.simjoin import pinned, pruned_products
+from ..operators.similarity import (average_similarity_linear, classify_pairs, lsh_pairs, prepare_vectors, similarity_pairs,
+                                    similarity_scores_of)
 from ..sources.tables import Tables
 from . import mapping as M
 from . import sql_mapping as S
@@ -52,8 +53,8 @@ from a left join g on a.domain = g.d
 
 @register("similarity_scores", sql=SCORES_SQL, ops=("C3", "C4", "D3", "B7", "B8", "B22", "H5", "H15", "H16"))
 def q_similarity_scores(spark, sf_dir):
-    t, vecs, prep, products = similarity_products(spark, sf_dir)
-    return pruned_scores(prep, prep, products, SIM_CFG)
+    t = Tables(spark, sf_dir)
+    return similarity_scores_of(M.vectors(t), SIM_CFG, t.embeddings.count())
 
 
 PAIRS_SQL = _sql_pairs(SIM_CFG.sim_threshold) + """
