@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigmesh.session import ensure_checkpoint_dir
+from sigmesh.session import ensure_checkpoint_dir, ship_package
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -20,26 +17,6 @@ def shared_root(spark: SparkSession) -> str:
     return (named or local).rstrip("/")
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for their Python workers."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="sigmesh-ship-"), "sigmesh_package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in names:
-                if n.endswith(".py"):
-                    path = os.path.join(folder, n)
-                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
-
-
 class Scratch:
     """Parquet tables of one run, under a folder of its own in the shared checkpoint folder.
 
