@@ -233,3 +233,60 @@ def test_toxicity_places_go_to_texts_that_are_read(spark):
     got = {r.doc_id: r.score for r in toxicity.score(spark, docs, clf).collect()}
     toxic, calm = [got[i] for i in range(200) if i % 4 == 0], [got[i] for i in range(200) if i % 4]
     assert min(toxic) > max(calm)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Counts, gradients and thresholds are those of all rows and whole texts, however they lie in partitions."""
+    import zlib
+    from sigmesh.llm import toxicity
+    rows = [(i, ("x " * 5000 + "vile end" if i % 5 == 0 else f"plain w{i % 40}"), int(i % 5 == 0)) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    table = toxicity.labelled(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")).cache()
+    want = {i: (t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert {r.doc_id: (r.text, r.label) for r in table.collect()} == want  # long texts too
+    kept, seen, bad = toxicity.count_buckets(table)
+    vile, plain = (int(np.flatnonzero(kept == toxicity._word_hash(w))[0]) for w in ("vile", "plain"))
+    p = sum(y for _, y in want.values())
+    assert seen[vile] >= bad[vile] >= p and seen[plain] >= len(want) - p and bad[plain] < p
+    net = toxicity.start(kept, seen, bad, p, len(want) - p)
+    many, one = (toxicity.gradient_sums(table.repartition(n), net, p, len(want) - p) for n in (7, 1))
+    (a, b), (c, d) = ((x[0][np.argsort(x[0])], x[1][np.argsort(x[0])]) for x in (many, one))
+    assert (a == c).all() and np.abs(b - d).max() < 1e-6
+
+
+def test_toxicity_gradient_is_that_of_the_loss():
+    from sigmesh.llm import textkit, toxicity
+    import pyarrow as pa
+    texts, y = ["vile thing here", "calm day", "", "a vile vile word", "plain"], np.array([1, 0, 0, 1, 0])
+    feats, first = toxicity.features(next(textkit.chunks(pa.array(texts))))
+    kept = np.unique(feats)
+    net = toxicity.start(kept, np.full(len(kept), 5), np.arange(len(kept)) % 5, 3, 2)
+    x, weight = net.parameters(), np.array([.1, .2, .3, .2, .2])
+
+    def loss(values):
+        z = net.with_parameters(values).logits(feats, first).astype(float)
+        return float((weight * (np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y))).sum())
+    at, g = net.gradient(feats, first, y, weight)
+    full = np.zeros_like(x)
+    full[at] = g
+    rng = np.random.default_rng(0)
+    for _ in range(5):
+        way = rng.normal(size=x.shape) * (np.abs(full) > 0)
+        assert abs((loss(x + 1e-3 * way) - loss(x - 1e-3 * way)) / 2e-3 - (full * way).sum()) < 2e-3 * max(1, np.abs(full * way).sum())
+
+
+def test_toxicity_thresholds_are_the_best_of_all_rows(spark):
+    from sigmesh.llm import toxicity
+    rng = np.random.default_rng(3)
+    rows = [(["en", "de", None][i % 3], round(float(rng.normal() + (i % 4 == 0) * (1.5 if i % 3 else .5)), 2), int(i % 4 == 0)) for i in range(900)]
+    rows += [("fr", 1.0, 1)] * 3 + [("fr", 0.0, 0)] * 20  # too few of one label
+    got = toxicity.thresholds(spark.createDataFrame(rows, "language string, z double, label int"))
+
+    def f1(own, at):
+        picked = [y for z, y in own if z >= at]
+        return 2 * sum(picked) / (len(picked) + sum(y for _, y in own))
+    assert set(got) == {"", "en", "de"}
+    for lang, at in got.items():
+        own = [(z, y) for k, z, y in rows if lang in ("", k)]
+        assert f1(own, at) == max(f1(own, z) for z, _ in own)
+    assert toxicity.thresholds(spark.createDataFrame([], "language string, z double, label int")) == {}
