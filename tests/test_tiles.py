@@ -4,6 +4,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +115,29 @@ def test_training_pieces_are_bounded():
             assert z.shape == (first[-1], 2) and (len(z) <= G.PIECE_ROWS or part.num_rows == 1)
             seen += [(part.column("domain")[i].as_py(), int(z[first[i], 0]), int(first[i + 1] - first[i])) for i in range(part.num_rows)]
         assert seen == [(f"n{i}", i, c) for i, c in enumerate(counts)][6 - batch.num_rows:]
+
+
+def test_syndicated_rows_cost_a_tile_no_matrices():
+    """Rows that count 0 are set in place: a tile with some needs no more room than one without, and gives what the rule says."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1024, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+
+    def tile(share):
+        t = pa.table({"domain": [f"d{i}" for i in range(1024)], "parent": [f"s{i % 7}" for i in range(1024)], "u": pa.array(list(x)),
+                      "auth": np.zeros(1024, bool), "synd": rng.random(1024) < share})
+        half = pa.array(np.arange(1024) < 512)
+        left, right = S.sides(t, half, pc.invert(half))
+        tracemalloc.start()
+        rows = pa.Table.from_batches(list(S.tile_products(left, right, CFG, 0.3, pairs=False, sums=False))).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return left, right, rows, peak
+    left, right, rows, peak = tile(0.1)
+    eff = np.where(left.synd[:, None] | right.synd[None, :], 0.0, left.u @ right.u.T)
+    eff[left.site[:, None] == right.site[None, :]] = -np.inf
+    got = {r["domain_a"]: (r["max_eff"], r["n_over"]) for r in rows}
+    want = {**dict(zip(left.name.to_pylist(), zip(eff.max(1), (eff >= CFG.sim_threshold).sum(1)))),
+            **dict(zip(right.name.to_pylist(), zip(eff.max(0), (eff >= CFG.sim_threshold).sum(0))))}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
+    assert peak < 1.3 * tile(0.0)[3]
