@@ -117,6 +117,31 @@ def test_training_pieces_are_bounded():
         assert seen == [(f"n{i}", i, c) for i, c in enumerate(counts)][6 - batch.num_rows:]
 
 
+def test_training_packs_hold_each_neighbour_once(spark):
+    """40 nodes that all know each other: 40 means in a pack and two places a message, not a mean for each of the 1,600 messages."""
+    from sigmesh.operators import graphnet as G
+    nodes = spark.createDataFrame([(f"d{i}", float(i), float(i % 3), i % 2) for i in range(40)], "domain string, a double, b double, label int")
+    edges = spark.createDataFrame([(f"d{i}", f"d{j}") for i in range(40) for j in range(i)] + [("d1", "d0"), ("d0", "d0"), (None, "d1"), ("d1", "x")],
+                                  "domain_a string, domain_b string")
+    sent = G.messages(nodes, edges).checkpoint()
+    assert sent.count() == 1600 == sent.distinct().count()
+    split = nodes.select("domain", nodes.label.alias("y"), (nodes.label >= 0).alias("train"), (nodes.label < 0).alias("test"))
+    net = G.with_scaling(G.random_network(["a", "b"], 8), nodes)
+    first = G._means(G.inputs(nodes, net), sent, G._heavy(sent, "src").checkpoint(), 2)
+    pack, = G._packs(first, sent, G._heavy(sent, "src").checkpoint(), split, 2, 20_000).collect()
+    assert len(pack.zs) == 40 * 2 and len(pack.near) == len(pack.users) == 1600 * 4 and pack.alone
+
+
+def test_sums_of_places():
+    """Short and long sums of listed rows, and none."""
+    from sigmesh.operators import graphnet as G
+    rng = np.random.default_rng(9)
+    values, counts = rng.normal(size=(500, 3)), np.array([0, 1, 400, 5, G.LONG_SUM, G.LONG_SUM + 1, 0, 2, *[3] * (G.STEP_ROWS + 5)])
+    index = rng.integers(0, 500, counts.sum())
+    want = [values[x].sum(0) for x in np.split(index, np.cumsum(counts)[:-1])]
+    assert np.allclose(G._sums(values, index, counts), want, atol=1e-12)
+
+
 def test_syndicated_rows_cost_a_tile_no_matrices():
     """Rows that count 0 are set in place: a tile with some needs no more room than one without, and gives what the rule says."""
     rng = np.random.default_rng(8)
