@@ -5,7 +5,7 @@ with text, a hash of its subtree (tag and texts) with the range of blocks it
 covers. Spark counts the pages of a host on which each hash stands; subtrees
 that recur across many pages of their host are deleted from their pages.
 Only hashes and ranges move for that; the blocks move once, to meet their
-deletions.
+deletions: neighbouring pages in one compressed bundle.
 
 A light subtree (few words, or mostly links) is a template from
 ``LIGHT_PAGES`` pages of its host on. Running prose may stand on several
@@ -29,6 +29,7 @@ import html as html_lib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -292,8 +293,47 @@ def judged(spark: SparkSession, pages: DataFrame) -> DataFrame:
     beside = parsed.filter(F.array_contains("marks", 2)).select("row", "host")
     beside = salted_left_join(beside, hosts.filter(F.col("host_pages") >= INNER_PAGES), ["host"], "row").filter(F.col("host_pages").isNotNull())
     known = gone.unionByName(beside.select("row", F.lit(None).cast("struct<first:int,end:int>").alias("range"), F.lit(True).alias("open")))
-    known = known.groupBy("row").agg(F.collect_list("range").alias("gone"), F.max("open").alias("open"))
-    return parsed.select("row", "page_id", "url", "blocks", "marks").join(known, "row", "left").drop("row")
+    known = (known.withColumn("bundle", F.shiftright("row", BUNDLE_BITS))
+             .groupBy("bundle").agg(F.collect_list(F.struct("row", "range.first", "range.end", "open")).alias("known")))
+    bundles = parsed.select("row", "page_id", "url", "blocks", "marks").mapInArrow(_bundled, "bundle long, pages binary")
+    return bundles.join(known, "bundle", "left").mapInArrow(_opened, _JUDGED)
+
+
+#: Pages of neighbouring rows travel together, up to 2**BUNDLE_BITS of them, compressed.
+BUNDLE_BITS = 6
+_RANGES = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+_JUDGED = "page_id long, url string, blocks array<string>, marks array<int>, gone array<struct<first:int,end:int>>, open boolean"
+
+
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of pages of one bundle, each as a compressed Arrow stream; a bundle may be in several rows."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        of = batch.column("row").to_numpy() >> BUNDLE_BITS
+        starts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+        pages = []
+        for lo, hi in zip(starts, [*starts[1:], len(of)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                out.write_batch(batch.slice(lo, hi - lo))
+            pages.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(of[starts]), pa.array(pages, pa.binary())], names=["bundle", "pages"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages of each bundle beside what is known of them."""
+    for batch in batches:
+        for pages, known in zip(batch.column("pages"), batch.column("known").to_pylist()):
+            gone, beside = {}, set()
+            for k in known or ():
+                if k["first"] is not None:
+                    gone.setdefault(k["row"], []).append({"first": k["first"], "end": k["end"]})
+                if k["open"]:
+                    beside.add(k["row"])
+            for b in pa.ipc.open_stream(pages.as_buffer()):
+                rows = b.column("row").to_pylist()
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("page_id", "url", "blocks", "marks")), pa.array([gone.get(r, []) for r in rows], _RANGES),
+                                                  pa.array([r in beside for r in rows])], names=["page_id", "url", "blocks", "marks", "gone", "open"])
 
 
 def _recurs(i):

@@ -252,6 +252,24 @@ def test_templates_inside_and_beside_articles(spark):
     assert html_main.removals(spark, df).first().asDict() == {"blocks": 65, "recurring": 24, "marked": 15, "both": 0}
 
 
+def test_pages_travel_in_compressed_bundles():
+    import pyarrow as pa
+    from sigmesh.llm import html_main
+    rows = [*range(130), *range(1 << 33, (1 << 33) + 70)]
+    blocks = [[f"A line of page {r} that is much like the others."] * 5 for r in rows]
+    b = pa.record_batch([pa.array(rows), pa.array(rows), pa.array(["u"] * 200), pa.array(blocks), pa.array([[0, 1, 2, 0, 0]] * 200, pa.list_(pa.int32()))],
+                        ["row", "page_id", "url", "blocks", "marks"])
+    bundles = pa.concat_batches(list(html_main._bundled(iter([b.slice(0, 100), b.slice(100), b.slice(0, 0)]))))
+    assert bundles.column("bundle").to_pylist() == [0, 1, 1, 2, 1 << 27, (1 << 27) + 1]
+    assert sum(map(len, bundles.column("pages").to_pylist())) < b.nbytes / 4
+    known = [[{"row": 3, "first": 1, "end": 2, "open": False}, {"row": 3, "first": 4, "end": 5, "open": False}], None, [{"row": 101, "first": None, "end": None, "open": True}],
+             None, None, None]
+    out = pa.Table.from_batches(list(html_main._opened(iter([bundles.append_column("known", pa.array(known))]))))
+    assert out.select(["page_id", "url", "blocks", "marks"]).to_pylist() == b.select(["page_id", "url", "blocks", "marks"]).to_pylist()
+    got = {r["page_id"]: (r["gone"], r["open"]) for r in out.to_pylist() if r["gone"] or r["open"]}
+    assert got == {3: ([{"first": 1, "end": 2}, {"first": 4, "end": 5}], False), 101: ([], True)}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     from sigmesh.llm import html_main
     page = "<body><div>Few words {0}</div><ul><li>one {0}</li><li>two</li></ul><p>A paragraph of page {0}.</p></body>"
