@@ -142,6 +142,14 @@ def test_sums_of_places():
     assert np.allclose(G._sums(values, index, counts), want, atol=1e-12)
 
 
+def test_unit_takes_the_norm_once(spark):
+    from sigmesh.functions.vectors import unit
+    rows = [([3.0, 4.0],), ([0.0, 0.0],), ([1.0, None],), ([],), (None,), ([float("nan"), 1.0],)]
+    out = spark.createDataFrame(rows, "v array<float>").select(unit("v").alias("u"))
+    assert repr([r.u for r in out.collect()]) == "[[0.6, 0.8], [0.0, 0.0], [0.0, 0.0], [], None, [nan, nan]]"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+
 def test_syndicated_rows_cost_a_tile_no_matrices():
     """Rows that count 0 are set in place: a tile with some needs no more room than one without, and gives what the rule says."""
     rng = np.random.default_rng(8)
