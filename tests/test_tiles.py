@@ -174,3 +174,21 @@ def test_syndicated_rows_cost_a_tile_no_matrices():
             **dict(zip(right.name.to_pylist(), zip(eff.max(0), (eff >= CFG.sim_threshold).sum(0))))}
     assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
     assert peak < 1.3 * tile(0.0)[3]
+
+
+def test_package_is_sent_before_the_pivots_are_used(spark, monkeypatch):
+    from sigmesh import session
+    from sigmesh.operators import simjoin
+    seen = []
+
+    def homes(prep, pivots):
+        seen.append(spark.sparkContext.applicationId in session._SHIPPED)
+        raise StopAsyncIteration
+
+    monkeypatch.setattr(session, "_SHIPPED", set())
+    monkeypatch.setattr(simjoin, "_with_home", homes)
+    prep = spark.createDataFrame([(f"d{i}", f"s{i}", [float(i), 1.0], False, False) for i in range(5)],
+                                 "domain string, parent string, u array<double>, auth boolean, synd boolean")
+    with pytest.raises(StopAsyncIteration):
+        simjoin.pruned_products(prep, CFG, 5, pivots=2)
+    assert seen == [True]
