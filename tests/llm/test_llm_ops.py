@@ -145,6 +145,50 @@ def test_encoder_equals_the_library(name):
         assert [o.tolist() for o in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_asks_for_known_words_once(name):
+    """Words before signs and line ends, and those after a line end, are known from elsewhere."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    from sigmesh.llm import tokens
+    tok, enc, asked = Tokenizer.from_file(P.path(name)), tokens.Encoder(P.path(name)), []
+    library = enc.batch
+    enc.batch = lambda texts, **how: asked.extend(texts) or library(texts, **how)
+    for text in ("alpha beta gamma\nDelta gamma\nBeta x", "alpha, beta.\nDelta; gamma.\nBeta, beta!\nDelta, gamma"):
+        asked.clear()
+        got, = enc.encode([text])
+        assert got.tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert not any(w in t.lower() for t in asked for w in ("alpha", "beta", "gamma", "delta"))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_null_characters_and_line_ends(name):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    from sigmesh.llm import tokens
+    tok, enc = Tokenizer.from_file(P.path(name)), tokens.Encoder(P.path(name))
+    texts = ["a\nb", "\0\0 \0a", "! \0,alpha \0.\nbeta", "a\n\nb \nc\n d\n", "\na\n\tb\r\nc\x85\nd\x1c\ne"]
+    assert [o.tolist() for o in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_keeps_what_it_met_again(name, monkeypatch):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    from sigmesh.llm import tokens
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    tok, enc, asked = Tokenizer.from_file(P.path(name)), tokens.Encoder(P.path(name)), []
+    library = enc.batch
+    enc.batch = lambda texts, **how: asked.extend(texts) or library(texts, **how)
+    for r in range(12):
+        texts = ["common word, again\nand\n\n" + " ".join(f"{chr(97 + r)}{chr(97 + i)}z" for i in range(10 + 3 * r)), "", "common word"]
+        if r == 2:
+            asked.clear()
+        assert [o.tolist() for o in enc.encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(enc.known) <= 40 + 60
+    assert not any("common" in t for t in asked if "\n\n" not in t)
+
+
 def test_packing(spark, docs, none):
     import public_tokenizers as P
     from tokenizers import Tokenizer
