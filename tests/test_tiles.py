@@ -192,3 +192,20 @@ def test_package_is_sent_before_the_pivots_are_used(spark, monkeypatch):
     with pytest.raises(StopAsyncIteration):
         simjoin.pruned_products(prep, CFG, 5, pivots=2)
     assert seen == [True]
+
+
+def test_near_copies_group_the_vectors_once(spark):
+    """Vectors are read for their classes and for the members, not again by each pass over the classes."""
+    from sigmesh.plans.q_iterative import near_copies
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            read.add(len(pdf))
+            yield pdf
+
+    rows = [(f"d{i}", [1.0, float(i % 3)]) for i in range(12)]
+    got = near_copies(spark.createDataFrame(rows, "domain string, u array<float>").mapInPandas(counted, "domain string, u array<float>"), 0.9).collect()
+    assert read.value <= 2 * len(rows)
+    first = {i: min((f"d{j}" for j in range(12) if j % 3 == i)) for i in range(3)}
+    assert {(r.domain_a, r.domain_b) for r in got if r.raw >= 0.9} >= {(first[i % 3], f"d{i}") for i in range(12) if f"d{i}" != first[i % 3]}
