@@ -223,7 +223,7 @@ def load(path: str) -> Encoder:
     return _LOADED[path]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, group_chars: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, group_chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
     """For every row its batch, place and ids (the end id last) as uint32; null text counts as empty."""
     enc = load(path)
     end = np.array([end_id], dtype="<u4")
