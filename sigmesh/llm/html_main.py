@@ -4,8 +4,8 @@ One parse per page yields its text blocks and, for every block-level element
 with text, a hash of its subtree (tag and texts) with the range of blocks it
 covers. Spark counts the pages of a host on which each hash stands; subtrees
 that recur across many pages of their host are deleted from their pages.
-Only hashes and ranges move for that; the blocks move once, to meet their
-deletions: neighbouring pages in one compressed bundle.
+Only hashes and ranges move for that, never through the driver; the blocks
+move once, to meet their deletions: neighbouring pages in one compressed bundle.
 
 A light subtree (few words, or mostly links) is a template from
 ``LIGHT_PAGES`` pages of its host on. Running prose may stand on several
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, salted_left_join
+from .common import Scratch
 
 LIGHT_PAGES = 3
 LIGHT_WORDS = 40
@@ -284,19 +284,21 @@ def judged(spark: SparkSession, pages: DataFrame) -> DataFrame:
     seen = (trees.groupBy("host", "hash", "content").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
             .filter(F.col("pages") >= LIGHT_PAGES))
     hosts = scratch.table(parsed.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "hosts")
-    many = scratch.table(seen.join(hosts, "host"), "recurring")
-    hit = salted_left_join(trees, many, ["host", "hash"], "row").filter(F.col("pages").isNotNull())
+    many = scratch.table(seen.join(hosts.hint("merge"), "host"), "recurring")
+    # no broadcast: stored tables count as their compressed files; a hot host or subtree is split by AQE's skew join
+    hit = trees.join(many.hint("merge"), ["host", "hash"])
     need = (F.when(F.col("kind") == 0, F.lit(float(LIGHT_PAGES)))
             .when(F.col("kind") == 1, F.greatest(F.lit(float(PROSE_PAGES)), F.col("host_pages") * PROSE_SHARE))
             .otherwise(F.greatest(F.lit(float(INNER_PAGES)), F.col("host_pages") * INNER_SHARE)))
     gone = hit.filter(F.col("pages") >= need).select("row", F.struct("first", "end").alias("range"), F.lit(False).alias("open"))
     beside = parsed.filter(F.array_contains("marks", 2)).select("row", "host")
-    beside = salted_left_join(beside, hosts.filter(F.col("host_pages") >= INNER_PAGES), ["host"], "row").filter(F.col("host_pages").isNotNull())
+    beside = beside.join(hosts.filter(F.col("host_pages") >= INNER_PAGES).hint("merge"), "host")
     known = gone.unionByName(beside.select("row", F.lit(None).cast("struct<first:int,end:int>").alias("range"), F.lit(True).alias("open")))
+    known = scratch.table(known, "known")  # the subtrees' shuffle ends before the blocks move
     known = (known.withColumn("bundle", F.shiftright("row", BUNDLE_BITS))
              .groupBy("bundle").agg(F.collect_list(F.struct("row", "range.first", "range.end", "open")).alias("known")))
     bundles = parsed.select("row", "page_id", "url", "blocks", "marks").mapInArrow(_bundled, "bundle long, pages binary")
-    return bundles.join(known, "bundle", "left").mapInArrow(_opened, _JUDGED)
+    return bundles.join(known.hint("merge"), "bundle", "left").mapInArrow(_opened, _JUDGED)
 
 
 #: Pages of neighbouring rows travel together, up to 2**BUNDLE_BITS of them, compressed.

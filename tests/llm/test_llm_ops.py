@@ -325,6 +325,20 @@ def test_copies_of_a_page_are_no_template(spark):
         assert r.text == f"Few words {k}\none {k}\ntwo\nA paragraph of page {k}."
 
 
+def test_templates_never_pass_the_driver(spark, monkeypatch):
+    """What recurs and what is known of pages grows with the pages: no join broadcasts it, however small its files are."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from sigmesh.llm import html_main
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (plans.append(self._df), write(self, *a, **k))[1])
+    page = "<html><body><div><p>menu of the site {h}</p></div><article><p>text {i}</p></article></body></html>"
+    df = spark.createDataFrame([(i, f"http://h{i % 3}.example/{i}", page.format(h=i % 3, i=i)) for i in range(40)], "page_id long, url string, html string")
+    out = html_main.main_text(spark, df)
+    assert sorted(r.text for r in out.collect()) == sorted(f"text {i}" for i in range(40))
+    shown = [p._jdf.queryExecution().executedPlan().toString() for p in [*plans, out]]
+    assert sum("Join" in p for p in shown) >= 3 and not any("Broadcast" in p for p in shown)
+
+
 def test_license_matches(spark, docs, none):
     from sigmesh.llm import license_scan
     mit = license_scan.TEMPLATES[1][1].split()
