@@ -85,6 +85,44 @@ def test_lsh_pairs_are_those_of_the_join(spark):
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_box_bounds_hold_and_exclude():
+    """No product of two boxes exceeds their bound, and vectors in groups leave few pairs of boxes."""
+    from sigmesh.operators.boxes import Boxed, directions, most, parts
+    rng = np.random.default_rng(5)
+    x = np.repeat(unit_rows(6, 40), 200, axis=0) + 0.02 * rng.normal(size=(1200, 40))
+    x[7], x[8, 3] = 0.0, np.nan
+    p = parts(x, directions(x))
+    boxed = Boxed(p, 50)
+    bound = most(boxed.least, boxed.largest, boxed.least, boxed.largest)
+    y = np.nan_to_num(x[boxed.order])
+    for i, (a, b) in enumerate(zip(boxed.starts, boxed.ends)):
+        assert all((y[a:b] @ y[c:d].T).max() <= bound[i, j] for j, (c, d) in enumerate(zip(boxed.starts, boxed.ends)))
+    assert (bound >= 0.9).mean() < 0.5 and sorted(boxed.order.tolist()) == list(range(1200)) and len(boxed.starts) >= 20
+
+
+def test_lsh_pairs_of_boxes_are_those_of_a_plain_pass(spark, monkeypatch):
+    """Many boxes and blocks, vectors of floats, names of several rows: every pair once, nothing left out; no distinct where names are unique."""
+    monkeypatch.setattr(S, "FEW_BOXES", 5)
+    monkeypatch.setattr(S, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(9)
+    x = np.repeat(unit_rows(7, 12), 40, axis=0) + 0.08 * rng.normal(size=(280, 12))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(f"d{i:03d}", f"p{i}", v.tolist()) for i, v in enumerate(x)], "domain string, parent string, u array<float>")
+    found = S.lsh_pairs(df, 0.9, 4.0, 6)  # buckets so wide that nearly all share one
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    v = df.select("domain", array_to_vector("u").alias("vec"))
+    sig = {r.domain: [h[0] for h in r.h] for r in BucketedRandomProjectionLSH(inputCol="vec", outputCol="h", bucketLength=4.0, numHashTables=6, seed=42).fit(v).transform(v).collect()}
+    g = x.astype(float) @ x.astype(float).T
+    want = {(f"d{i:03d}", f"d{j:03d}"): g[i, j] for i in range(280) for j in range(i + 1, 280)
+            if g[i, j] >= 0.9 and any(a == b for a, b in zip(sig[f"d{i:03d}"], sig[f"d{j:03d}"]))}
+    rows = found.collect()
+    assert len(rows) == len(want) > 1000 and all(abs(want[r.domain_a, r.domain_b] - r.raw) < 1e-12 for r in rows)
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    twice = S.lsh_pairs(df.unionByName(df), 0.9, 4.0, 6).collect()
+    assert sorted((r.domain_a, r.domain_b) for r in twice) == sorted(want)
+
+
 def test_copies_are_members_of_a_class(spark):
     from sigmesh.plans.q_iterative import near_copies
     x = np.eye(4)
