@@ -247,3 +247,40 @@ def test_near_copies_group_the_vectors_once(spark):
     assert read.value <= 2 * len(rows)
     first = {i: min((f"d{j}" for j in range(12) if j % 3 == i)) for i in range(3)}
     assert {(r.domain_a, r.domain_b) for r in got if r.raw >= 0.9} >= {(first[i % 3], f"d{i}") for i in range(12) if f"d{i}" != first[i % 3]}
+
+
+def tables_of(spark, tmp_path, vectors, texts, **more):
+    """A folder with embeddings (id, vector, label), documents (id, text) and other tables as (rows, schema)."""
+    spark.createDataFrame([(i, [float(x) for x in v], s) for i, v, s in vectors], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name, (rows, schema) in more.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_evidence_moves_no_pairs_to_texts(spark, tmp_path):
+    """Every pair with the lengths of each of its ends' texts, also of an id with two; nothing is joined to pairs."""
+    from sigmesh.plans.q_monitor import q_evidence_pairs
+    x = unit_rows(40, 5, seed=8)
+    texts = [(i, "t" * (i + 1)) for i in range(39)] + [(3, "three")]
+    d = tables_of(spark, tmp_path, [(i, v, i % 3) for i, v in enumerate(x)], texts)
+    out = q_evidence_pairs(spark, d)
+    u = x.astype(np.float32).astype(float)
+    lens = {i: sorted(len(t) for k, t in texts if k == i) or [0] for i in range(40)}
+    want = []
+    for i in range(40):
+        for j in range(40):
+            if f"d{i}" < f"d{j}" and i % 3 != j % 3 and u[i] @ u[j] / np.linalg.norm(u[i]) / np.linalg.norm(u[j]) >= 0.3:
+                want += [(f"d{i}", f"d{j}", a, b) for a in lens[i] for b in lens[j] for _ in range(len(lens[i]) * len(lens[j]))]
+    got = sorted((r.domain_a, r.domain_b, r.excerpt_a_len, r.excerpt_b_len) for r in out.collect())
+    assert got == sorted(want) and len(got) > 100
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_search_copies_few():
+    """6 GB of documents: a seed goes to every block of vectors, a vector to every block of seeds."""
+    from sigmesh.operators.search import FEW_BLOCKS, FEW_SEED_BLOCKS, MOST_ROWS, MOST_SEEDS, search_blocks
+    n_seeds, n = 61_538, 3_076_920
+    s, v = search_blocks(n_seeds, FEW_SEED_BLOCKS, MOST_SEEDS), search_blocks(n, FEW_BLOCKS, MOST_ROWS)
+    assert n_seeds * v + n * s < 13e6  # 95 million with blocks of 4,096 rows
+    assert (search_blocks(0, 2, 10), search_blocks(4096, 16, 32_768), search_blocks(65_536, 16, 32_768), search_blocks(10, 2, 10, 3)) == (1, 1, 16, 4)
