@@ -284,3 +284,48 @@ def test_search_copies_few():
     s, v = search_blocks(n_seeds, FEW_SEED_BLOCKS, MOST_SEEDS), search_blocks(n, FEW_BLOCKS, MOST_ROWS)
     assert n_seeds * v + n * s < 13e6  # 95 million with blocks of 4,096 rows
     assert (search_blocks(0, 2, 10), search_blocks(4096, 16, 32_768), search_blocks(65_536, 16, 32_768), search_blocks(10, 2, 10, 3)) == (1, 1, 16, 4)
+
+
+def odd_vectors(spark, n=90, dim=6):
+    """Vectors with names of several rows (one with two sites), without a name, without a site, without numbers, and listed ones."""
+    x = unit_rows(n, dim, seed=11)
+    name = [f"d{i % 70:02d}" for i in range(n)]
+    name[5], name[33], name[9] = None, None, "reuters.com"
+    rows = [(name[i], None if i == 20 else f"s{i % 4}", None if i == 40 else v.tolist(), name[i] == "reuters.com", i % 17 == 3) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "domain string, parent string, u array<double>, auth boolean, synd boolean").repartition(3)
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_sums_over_neighbours_are_those_of_the_pairs(spark, plain, monkeypatch):
+    """What tiles add up is what joins with the written pairs give; blocks of a few rows, steps of a few comparisons."""
+    from sigmesh.operators import graph as G, graphnet as N, neighbours as B
+    monkeypatch.setattr(B, "STEP_CELLS", 200)
+    monkeypatch.setattr(B, "PAIR_STEP", 16)
+    prep = odd_vectors(spark).cache()
+    links = spark.createDataFrame([("d00", "d01"), ("d02", "d60"), ("d03", "x1"), ("x1", "x2"), ("d04", "d05"), ("d04", "d05")], "domain_a string, domain_b string")
+    links = links.unionByName(spark.createDataFrame([(f"d{i:02d}", f"d{i + 9:02d}") for i in range(40)], links.schema))
+    nodes = spark.createDataFrame([(f"d{i:02d}", float(i), i % 5) for i in range(0, 60)] + [("d07", 1.5, None), ("x1", 2.0, 1), ("lonely", 3.0, 2), (None, 9.0, 9)],
+                                  "domain string, f double, g int")
+    pairs = S.similarity_pairs(S.block_products(prep, CFG, 4, plain=plain)).cache()
+    monkeypatch.setattr(B, "blocks_for", lambda n: 4)
+    edges = B.VectorEdges(prep, CFG, 90, plain)
+    linked = B.VectorEdges(prep, CFG, 90, plain, links)
+    both = pairs.select("domain_a", "domain_b").unionByName(links)
+    rounded = lambda df: sorted(((*(round(v, 9) if isinstance(v, float) else v for v in r),) for r in df.collect()), key=str)
+    assert pairs.count() > 300
+    assert rounded(G.neighbor_mean(nodes, linked, ["f", "g"])) == rounded(G.neighbor_mean(nodes, both, ["f", "g"]))
+    assert rounded(G.domain_cards(nodes, linked, 3)) == rounded(G.domain_cards(nodes, both, 3))
+    assert rounded(S.edge_features(nodes, edges, .85)) == rounded(S.edge_features(nodes, pairs, .85))
+    net = N.with_scaling(N.fixed_network(["f", "g"]), nodes)
+    assert rounded(N.scores(nodes, edges, net)) == rounded(N.scores(nodes, pairs, net))
+
+
+def test_neighbour_queries_write_no_pair(spark, monkeypatch):
+    """Cards, means and scores read tiles that add up: nothing asks for pairs."""
+    from sigmesh.operators import similarity
+    from sigmesh.plans import q_graph, q_graphnet, q_legacy
+    for m in (q_graph, q_legacy, similarity):
+        monkeypatch.setattr(m, "similarity_pairs", lambda *a, **k: pytest.fail("pairs are made"))
+    d = "/root/testdata/sf0.001"
+    for q in (q_graph.q_domain_cards, q_graph.q_neighbor_mean, q_graphnet.q_graph_network_scores, q_graphnet.q_graph_network_stored):
+        assert q(spark, d).count() > 0
