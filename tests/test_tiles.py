@@ -329,3 +329,19 @@ def test_neighbour_queries_write_no_pair(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     for q in (q_graph.q_domain_cards, q_graph.q_neighbor_mean, q_graphnet.q_graph_network_scores, q_graphnet.q_graph_network_stored):
         assert q(spark, d).count() > 0
+
+
+def test_bylines_and_links_are_stored_once(spark):
+    """Rows that several branches read are columns on disk, not cached rows, and their shuffles are no part of the last plan."""
+    from sigmesh.operators.authors import author_signal
+    from sigmesh.operators.links import link_signal
+    doms = spark.createDataFrame([("a",), ("b",), ("c",), ("e",)], "domain string")
+    by = spark.createDataFrame([("a", "Ann Lee"), ("a", " ann lee "), ("b", "ANN LEE"), ("c", "Bob Day"), ("z", "Bob Day"), ("b", None), (None, "Bob Day")], "domain string, author string")
+    out = author_signal(doms, by)
+    assert sorted((r.domain, r.shared_author_count, list(r.shared_authors)) for r in out.collect()) == [
+        ("a", 1, [" ann lee "]), ("b", 1, ["ANN LEE"]), ("c", 1, ["Bob Day"]), ("e", 0, [])]
+    links = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "a"), ("a", "a"), ("a", "x"), ("c", "a"), (None, "a")], "src string, dst string")
+    net = link_signal(links, doms, CURRENT)
+    assert sorted((r.domain, r.n_links, r.in_set_links, r.mutual_link_count) for r in net.collect()) == [("a", 2, 1, 1), ("b", 1, 1, 1), ("c", 1, 1, 0), ("e", 0, 0, 0)]
+    for df in (out, net):
+        assert "InMemoryRelation" not in df._jdf.queryExecution().withCachedData().toString()
