@@ -345,3 +345,18 @@ def test_bylines_and_links_are_stored_once(spark):
     assert sorted((r.domain, r.n_links, r.in_set_links, r.mutual_link_count) for r in net.collect()) == [("a", 2, 1, 1), ("b", 1, 1, 1), ("c", 1, 1, 0), ("e", 0, 0, 0)]
     for df in (out, net):
         assert "InMemoryRelation" not in df._jdf.queryExecution().withCachedData().toString()
+
+
+def test_upserts_keep_columns_not_rows(spark, tmp_path, monkeypatch):
+    """What an upsert writes on its way is compressed columns, never a checkpoint of rows."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from sigmesh.operators.graphstore import GraphStore
+    store = GraphStore(spark, f"{tmp_path}/graph", buckets=3, flag_at=.5)
+    nodes = spark.createDataFrame([(f"d{i}", "x") for i in range(9)], "domain string, registrar string").withColumn("updated_at", F.to_timestamp(F.lit("2001-01-01")))
+    store.rebuild(nodes)
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a, **k: pytest.fail("rows are checkpointed"))
+    edges = spark.createDataFrame([("d1", "d2", "SIMILAR_TO", .7), ("d3", "d2", "SIMILAR_TO", .4), ("d1", "zz", "SIMILAR_TO", .9)], "domain_a string, domain_b string, kind string, similarity double")
+    for at in ("2001-02-01", "2001-03-01"):
+        assert store.upsert_edges(edges, at)
+    assert sorted(tuple(r)[:5] for r in store.table("edges").select("domain_a", "domain_b", "kind", "similarity", "flagged").collect()) == [
+        ("d1", "d2", "SIMILAR_TO", .7, 1), ("d2", "d3", "SIMILAR_TO", .4, 0)]
